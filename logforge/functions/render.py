@@ -9,17 +9,41 @@ from logforge.functions.syslog import priority
 from logforge.functions.text import col
 
 
-def rfc3339_time(ts: Column | str) -> Column:
-    return F.date_format(col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+def utc_text(ts: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss.ffffff`` in UTC, whatever the session zone."""
+    micros = F.unix_micros(col(ts))
+    zoneless = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (micros / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")
+    )
+    return zoneless.cast("string")
+
+
+def rfc3339_time(ts: Column | str, session_zone: bool = False) -> Column:
+    """RFC 3339 time to the millisecond, in UTC unless the session zone is asked for."""
+    if session_zone:
+        return F.date_format(col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    text = utc_text(ts)
+    millis = F.lpad(F.pmod(F.unix_millis(col(ts)), F.lit(1000)).cast("string"), 3, "0")
+    return F.concat(
+        F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), millis,
+        F.lit("Z"),
+    )
 
 
-def traditional_time(ts: Column | str) -> Column:
+def traditional_time(ts: Column | str, session_zone: bool = False) -> Column:
     """``Mon dd HH:MM:SS`` with the day padded by a blank."""
     ts = col(ts)
+    if session_zone:
+        return F.concat(
+            F.date_format(ts, "MMM "),
+            F.lpad(F.dayofmonth(ts).cast("string"), 2, " "),
+            F.date_format(ts, " HH:mm:ss"),
+        )
+    text = utc_text(ts)
+    date = F.substring(text, 1, 10).cast("date")
     return F.concat(
-        F.date_format(ts, "MMM "),
-        F.lpad(F.dayofmonth(ts).cast("string"), 2, " "),
-        F.date_format(ts, " HH:mm:ss"),
+        F.monthname(date), F.lit(" "), F.lpad(F.dayofmonth(date).cast("string"), 2, " "),
+        F.lit(" "), F.substring(text, 12, 8),
     )
 
 

@@ -23,6 +23,38 @@ def reduce_repeats(
 
     Result: keys, ``message``, ``repeats``, ``first_<c>`` and ``last_<c>`` for
     every order column.  ``order`` must be unique within a key.
+    """
+    rows = df.select(
+        *keys, *order, message, F.lit(1).cast("bigint").alias("repeats"),
+        *[F.col(c).alias(f"first_{c}") for c in order],
+    )
+    return _collapse(rows, keys, order, message, partitions)
+
+
+def extend_repeats(
+    runs: DataFrame,
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    message: str = "msg",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Continue earlier runs (rows of ``reduce_repeats``) with new messages."""
+    firsts = [f"first_{c}" for c in order]
+    earlier = runs.select(
+        *keys, *[F.col(f"last_{c}").alias(c) for c in order], message, "repeats", *firsts
+    )
+    rows = df.select(
+        *keys, *order, message, F.lit(1).cast("bigint").alias("repeats"),
+        *[F.col(c).alias(f"first_{c}") for c in order],
+    )
+    return _collapse(earlier.unionByName(rows), keys, order, message, partitions)
+
+
+def _collapse(
+    rows: DataFrame, keys: list[str], order: list[str], message: str, partitions: int | None
+) -> DataFrame:
+    """Runs of equal messages; every input row already stands for ``repeats`` messages.
 
     A run is defined by the order within a key, but a single key may hold a
     large part of all rows, so no task may own a whole key.  The rows are cut
@@ -32,21 +64,24 @@ def reduce_repeats(
     """
     ranged = [*keys, *order]
     chunks = (
-        df.repartitionByRange(partitions, *ranged)
+        rows.repartitionByRange(partitions, *ranged)
         if partitions
-        else df.repartitionByRange(*ranged)
-    ).select(*keys, *order, message, F.spark_partition_id().alias("_chunk"))
+        else rows.repartitionByRange(*ranged)
+    ).select(
+        *keys, *order, message, "repeats",
+        F.struct(*[f"first_{c}" for c in order]).alias("_first"),
+        F.spark_partition_id().alias("_chunk"),
+    )
 
     inside = Window.partitionBy("_chunk", *keys).orderBy(*order)
     numbered = chunks.withColumn("_new", _differs(message, inside).cast("int")).withColumn(
         "_run", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     )
-    at = F.struct(*order)
     runs = numbered.groupBy("_chunk", *keys, "_run").agg(
         F.first(message).alias(message),
-        F.count(F.lit(1)).alias("repeats"),
-        F.min(at).alias("_first"),
-        F.max(at).alias("_last"),
+        F.sum("repeats").alias("repeats"),
+        F.min("_first").alias("_first"),
+        F.max(F.struct(*order)).alias("_last"),
     )
     runs = runs.withColumn(
         "_edge",
@@ -55,7 +90,7 @@ def reduce_repeats(
     )
     # Edge runs of a key meet in one group (-1); inner runs stay with their chunk.
     runs = runs.withColumn("_group", F.when(F.col("_edge"), -1).otherwise(F.col("_chunk")))
-    across = Window.partitionBy(*keys, "_group").orderBy("_first")
+    across = Window.partitionBy(*keys, "_group").orderBy("_last")
     same = (
         F.col("_edge")
         & F.col(message).eqNullSafe(F.lag(message).over(across))
@@ -76,25 +111,24 @@ def reduce_repeats(
         *keys,
         message,
         "repeats",
-        *[F.col(f"_first.{c}").alias(f"first_{c}") for c in order],
+        *[F.col(f"_first.first_{c}").alias(f"first_{c}") for c in order],
         *[F.col(f"_last.{c}").alias(f"last_{c}") for c in order],
     )
 
 
-def rate_cap(df: DataFrame, keys: list[str], order: list[str], per_group: int) -> DataFrame:
+def rate_cap(
+    df: DataFrame, keys: list[str], order: list[str], per_group: int, rank: str | None = None
+) -> DataFrame:
     """Keep the first ``per_group`` rows of each key (for example host and second).
 
     The rank filter is a group limit: every task drops rows beyond the cap
     before the shuffle, so a hot second ships at most the cap per task.
     """
     if per_group <= 0:  # zero stands for "no cap"
-        return df
+        return df.withColumn(rank, F.lit(0)) if rank else df
     window = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_rank", F.row_number().over(window))
-        .filter(F.col("_rank") <= per_group)
-        .drop("_rank")
-    )
+    kept = df.withColumn("_at", F.row_number().over(window)).filter(F.col("_at") <= per_group)
+    return kept.withColumnRenamed("_at", rank) if rank else kept.drop("_at")
 
 
 def rate_cap_report(df: DataFrame, keys: list[str], per_group: int) -> DataFrame:

@@ -200,6 +200,6 @@ def derive_rule_lines(events: DataFrame) -> DataFrame:
         .otherwise("")
     )
     return events.select(
-        "event_id", _text("host", F.expr("event_id div 8") % 16).alias("ruleset"),
+        "event_id", "ts", _text("host", F.expr("event_id div 8") % 16).alias("ruleset"),
         eid.alias("idx"), text.alias("value"),
     )
