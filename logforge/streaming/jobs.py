@@ -21,7 +21,8 @@ from logforge.streaming.run import (
 def stream_lines(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{sf}/events.parquet"
     schema = spark.read.parquet(path).schema
-    return derive_lines(spark.readStream.schema(schema).parquet(path))
+    # A file stream takes folders and patterns: the braces make one of a single file.
+    return derive_lines(spark.readStream.schema(schema).parquet(f"{sf}/{{events.parquet}}"))
 
 
 def _finished(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
