@@ -359,11 +359,11 @@ def _rules_values() -> str:
 RULE_EVENTS = rf"""
 calls AS (
   SELECT host, epoch_ms, serial, 'b64' AS arch, 'execve' AS syscall,
-    CASE WHEN contains(msg, 'success=yes') THEN 1 ELSE 0 END AS success,
+    CAST(CASE WHEN contains(msg, 'success=yes') THEN 1 ELSE 0 END AS BIGINT) AS success,
     CAST({_value('exit')} AS BIGINT) AS exit,
     CASE WHEN {_value('auid')} <> '4294967295' THEN CAST({_value('auid')} AS BIGINT) END AS auid,
     CAST({_value('uid')} AS BIGINT) AS uid, CAST({_value('gid')} AS BIGINT) AS gid,
-    CAST({_value('euid')} AS BIGINT) AS euid, 21968 AS a0
+    CAST({_value('euid')} AS BIGINT) AS euid, CAST(21968 AS BIGINT) AS a0
   FROM records WHERE record_type = 'SYSCALL'),
 paths AS (SELECT DISTINCT host, epoch_ms, serial, {_value('name')} AS path FROM records WHERE record_type = 'PATH'),
 rule_events AS (SELECT c.*, p.path FROM calls c LEFT JOIN paths p USING (host, epoch_ms, serial))"""
@@ -447,7 +447,7 @@ _add("pri_decode", LINES, sql=f"""SELECT event_id, facility * 8 + severity AS pr
   {_FACILITY} AS facility_text, {_SEVERITY} AS severity_text FROM lines""")
 _add("received_parse", LINES, sql="""SELECT event_id, us // 1000 AS ts_ms, host, program AS tag, md5(msg) AS msg_md5
   FROM lines""")
-_add("blank_drop", sql=r"""SELECT doc_id, count(*) AS n_lines, sum(length(v)) AS n_chars FROM (
+_add("blank_drop", sql=r"""SELECT doc_id, count(*) AS n_lines, CAST(sum(length(v)) AS BIGINT) AS n_chars FROM (
   SELECT doc_id, trim(l, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31)
     || ' ' || chr(133) || chr(160) || chr(5760) || chr(8192) || chr(8193) || chr(8194) || chr(8195) || chr(8196)
     || chr(8197) || chr(8198) || chr(8199) || chr(8200) || chr(8201) || chr(8202) || chr(8232) || chr(8233)
