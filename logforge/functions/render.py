@@ -80,10 +80,10 @@ _LEEF_ORDER = ("devTime", "auid", "uid", "euid", "pid", "exe", "success", "key",
 
 
 def _leef_escape(value: Column) -> Column:
-    value = F.regexp_replace(value, r"\\", r"\\\\")
-    value = F.regexp_replace(value, "\t", r"\\t")
-    value = F.regexp_replace(value, "\r?\n", r"\\n")
-    return F.regexp_replace(value, r"\|", r"\\|")
+    """Keep the separators out of values: backslash, tab, line break and bar are escaped."""
+    for char, escaped in (("\\", "\\\\"), ("\t", "\\t"), ("\r\n", "\\n"), ("\n", "\\n"), ("|", "\\|")):
+        value = F.replace(value, F.lit(char), F.lit(escaped))
+    return value
 
 
 def leef(event_id: Column, fields: dict[str, Column]) -> Column:

@@ -32,19 +32,20 @@ def rebuild_commands(
     if manual:
         df = drop_proctitle(df, line)
     guarded = lambda c, test: F.when(test, c)
-    # Each step is its own projection: arguments are extracted once, and the
-    # costly part runs only where the substring test holds.
+    # Arguments are extracted once, and only where the substring test holds.
     df = df.withColumn(
         "_args", guarded(X.args(line, mode, quoted_only=manual), is_execve(line))
     )
     has_args = F.coalesce(F.size("_args") > 0, F.lit(False))
     clean = X.clean_line_manual(line) if manual else X.clean_line(line, mode)
-    df = df.withColumns(
-        {
-            "cmd": guarded(F.array_join("_args", " "), has_args),
-            "line_clean": F.when(has_args, clean).otherwise(F.col(line)),
-        }
-    ).drop("_args")
+    built = F.struct(
+        guarded(F.array_join("_args", " "), has_args).alias("cmd"),
+        F.when(has_args, clean).otherwise(F.col(line)).alias("line_clean"),
+    )
+    # The one-element explode keeps later filters (on techniques, say) from
+    # being pushed below the rebuild and running it again.
+    kept = [c for c in df.columns if c not in ("_args", "cmd", "line_clean")]
+    df = df.select(*kept, F.explode(F.array(built)).alias("_built")).select(*kept, "_built.*")
     rebuilt = F.col("cmd").isNotNull() if not manual else F.lit(False)
     return df.withColumns(
         {

@@ -74,8 +74,12 @@ def technique_counts(
     counts = [F.count(F.lit(1)).alias("n_lines")]
     if user:
         counts.append(F.count_distinct(user).alias("n_users"))
+    # A plain explode would add a filter on the whole tagging expression.
+    rows = df.select(
+        *keys, *([user] if user else []), F.explode_outer("techniques").alias("technique")
+    )
     return (
-        df.select(*keys, *([user] if user else []), F.explode("techniques").alias("technique"))
+        rows.filter(F.col("technique").isNotNull())
         .groupBy(*keys, "technique")
         .agg(*counts)
     )

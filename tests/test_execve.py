@@ -1,10 +1,9 @@
 """Golden rows of the command rebuild, and a row-at-a-time check on random lines."""
 
+import random
 import re
 
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from logforge.functions import execve as X
@@ -136,25 +135,24 @@ def _expected(line):
     return " ".join(found[i] for i in sorted(found)), re.sub(r"argc=[0-9]+\s*", "", clean).strip()
 
 
-_piece = st.one_of(
-    st.builds(lambda i, v: f'a{i}="{v}"', st.integers(0, 12), st.text('ab =41é"x\\$', max_size=6)),
-    st.builds(lambda i, v: f"a{i}={v}", st.integers(0, 12), st.text("0123456789abCDEFx", max_size=8)),
-    st.builds(lambda i, b: f"a0{i}={b.hex()}", st.integers(0, 3), st.binary(max_size=5)),
-    st.sampled_from(["argc=3", "argc=12  ", "uid=0", "a1_len=4", "a1[0]=41", "comm=\"sh\"", "\x1dUID=\"root\""]),
-)
-_line = st.builds(
-    lambda head, parts, sep: sep.join([head, *parts]),
-    st.sampled_from(["type=EXECVE", "type=EXECVE msg=audit(1.2:3):", "type=PATH", ""]),
-    st.lists(_piece, max_size=7),
-    st.sampled_from([" ", "  ", ""]),
-)
-
-
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(_line, min_size=250, max_size=400))
-def test_random_lines(spark, batch):
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(batch)], "at INT, msg STRING")
-    rows = enrich_execve(df).orderBy("at").select("msg", "cmd", "line_clean", "techniques").collect()
+def _random_line(rng):
+    word = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(rng.randrange(n)))
+    pieces = (
+        lambda: f'a{rng.randrange(13)}="{word("ab =41é x$", 7)}"',
+        lambda: f"a{rng.randrange(13)}={word('0123456789abCDEFx', 9)}",
+        lambda: f"a0{rng.randrange(4)}={rng.randbytes(rng.randrange(6)).hex()}",
+        lambda: rng.choice(["argc=3", "argc=12  ", "uid=0", "a1_len=4", "a1[0]=41", 'comm="sh"', '\x1dUID="root"']),
+    )
+    head = rng.choice(["type=EXECVE", "type=EXECVE msg=audit(1.2:3):", "type=PATH", ""])
+    return rng.choice([" ", "  ", ""]).join([head, *(rng.choice(pieces)() for _ in range(rng.randrange(8)))])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_lines(spark, seed):
+    rng = random.Random(seed)
+    df = spark.createDataFrame([(i, _random_line(rng)) for i in range(2000)], "at INT, msg STRING")
+    rows = enrich_execve(df).select("msg", "cmd", "line_clean", "techniques").collect()
+    assert sum(r["cmd"] is not None for r in rows) > 500
     for row in rows:
         cmd, clean = _expected(row["msg"])
         assert (row["cmd"], row["line_clean"]) == (cmd, clean), row["msg"]
