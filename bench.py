@@ -33,6 +33,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.driver.extraJavaOptions", os.environ.get("BENCH_JAVA", ""))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

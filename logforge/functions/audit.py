@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from logforge.facts import UNSET_ID
 from logforge.functions.text import capture, col, first_group, let
 
-_HEADER = r"audit\((\d+)(?:\.(\d+))?:(\d+)\)"
+_HEADER = r"audit\((\d+(?:\.\d+)?:\d+)\)"
 
 
 def record_type(line: Column | str, mode: str = "first") -> Column:
@@ -63,22 +63,29 @@ def field_columns(line: Column | str, mode: str = "compat") -> dict[str, Column]
 
 
 def audit_header(line: Column | str) -> Column:
-    """Struct (epoch_ms, serial) from ``audit(SEC[.MS]:SERIAL)``; NULLs if absent."""
-    whole = F.regexp_extract(col(line), _HEADER, 0)
-    inner = F.substring_index(F.substring_index(whole, "(", -1), ")", 1)
+    """Text ``SEC[.MS]:SERIAL`` of the audit header, NULL if there is none."""
+    return first_group(line, _HEADER)
+
+
+def header_fields(inner: Column) -> dict[str, Column]:
+    """epoch_ms and serial of a header text; the fraction is optional."""
     stamp = F.substring_index(inner, ":", 1)
     seconds = F.substring_index(stamp, ".", 1).try_cast("bigint")
-    fraction = F.when(F.contains(stamp, F.lit(".")), F.substring_index(stamp, ".", -1))
-    millis = F.coalesce(F.rpad(fraction, 3, "0").substr(1, 3).try_cast("bigint"), F.lit(0))
-    return F.struct(
-        (seconds * 1000 + millis).alias("epoch_ms"),
-        F.substring_index(inner, ":", -1).try_cast("bigint").alias("serial"),
-    )
+    fraction = F.rpad(F.substring_index(stamp, ".", -1), 3, "0").substr(1, 3).try_cast("bigint")
+    millis = F.when(F.contains(stamp, F.lit(".")), fraction).otherwise(F.lit(0))
+    return {
+        "epoch_ms": seconds * 1000 + millis,
+        "serial": F.substring_index(inner, ":", -1).try_cast("bigint"),
+    }
 
 
 def id_value(text: Column) -> Column:
-    """Numeric id as BIGINT; the three spellings of "not set" become NULL."""
-    number = text.try_cast("bigint")
+    """Numeric id as BIGINT; the three spellings of "not set" become NULL.
+
+    The text is used several times: extract it in a projection of its own.
+    """
+    # A failed cast costs far more than the test for an absent ('') value.
+    number = F.when(text != "", text.try_cast("bigint"))
     return F.when((number != UNSET_ID) & (number != -1), number)
 
 
@@ -107,29 +114,37 @@ _TOKEN = r"""(?:^|[\s\x1d'])([A-Za-z_][\w-]*(?:\[\d+\])?)=("[^"]*"|[^\s'\x1d"]*)
 
 
 def kv_tokens(line: Column | str) -> Column:
-    """ARRAY of ``name=value`` tokens in line order, the value unquoted."""
-    names = F.regexp_extract_all(col(line), F.lit(_TOKEN), F.lit(1))
-    values = F.regexp_extract_all(col(line), F.lit(_TOKEN), F.lit(2))
-    return F.zip_with(
-        names,
-        values,
-        lambda n, v: F.struct(n.alias("name"), F.btrim(v, F.lit('"')).alias("value")),
+    """ARRAY of (name, value) tokens in line order, the value unquoted."""
+    return F.transform(
+        F.regexp_extract_all(col(line), F.lit(_TOKEN), F.lit(0)),
+        lambda t: F.struct(
+            F.ltrim(F.substring_index(t, "=", 1), F.lit(" \t\n\x0b\x0c\r\x1d'")).alias("name"),
+            F.btrim(F.substring(t, F.instr(t, "=") + 1, F.length(t)), F.lit('"')).alias("value"),
+        ),
     )
 
 
-def kv_map(line: Column | str) -> Column:
-    """MAP of the tokens; the first value of a repeated name is kept."""
+def _first_values(tokens: Column) -> Column:
+    """Tokens with the first value of every name, by sorting and comparing neighbours."""
     entries = F.sort_array(
-        F.transform(
-            kv_tokens(line),
-            lambda t, i: F.struct(t["name"].alias("name"), i.alias("at"), t["value"].alias("value")),
-        )
+        F.transform(tokens, lambda t, i: F.struct(t["name"].alias("name"), i.alias("at"), t["value"].alias("value")))
     )
     firsts = let(
         entries,
         lambda s: F.filter(s, lambda e, i: ~e["name"].eqNullSafe(F.get(s, i - 1)["name"])),
     )
-    return F.map_from_entries(F.transform(firsts, lambda e: F.struct(e["name"], e["value"])))
+    return F.transform(firsts, lambda e: F.struct(e["name"].alias("name"), e["value"].alias("value")))
+
+
+def kv_map(line: Column | str) -> Column:
+    """MAP of the tokens; the first value of a repeated name is kept."""
+    names = lambda t: F.transform(t, lambda x: x["name"])
+    return let(
+        kv_tokens(line),
+        lambda t: F.map_from_entries(
+            F.when(F.size(F.array_distinct(names(t))) == F.size(t), t).otherwise(_first_values(t))
+        ),
+    )
 
 
 # --- fixed values: field layout of four record shapes ------------------------

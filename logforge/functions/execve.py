@@ -192,41 +192,68 @@ def historic_line(line: Column | str) -> Column:
 
 
 def fallback_command(line: Column | str) -> Column:
-    """Command from quoted a0..a9 only; ``N/A`` for lines that are no EXECVE."""
+    """Command from quoted a0..a9 only; ``N/A`` for lines that are no EXECVE.
+
+    The first value of each index counts and empty ones are skipped; without
+    an ``a0`` the command starts with a blank.
+    """
     line = col(line)
-    first = F.regexp_extract(line, r'a0="([^"]+)"', 1)
-    rest = [
-        F.regexp_extract(line, rf'a{i}="([^"]+)"', 1) for i in range(1, 10)
-    ]
-    joined = F.concat(
-        first, *[F.when(v != "", F.concat(F.lit(" "), v)).otherwise(F.lit("")) for v in rest]
-    )
-    return F.when(is_execve(line), joined).otherwise(F.lit("N/A"))
+    # The look-ahead finds every start, also one inside another value, just as
+    # ten separate searches would.
+    tokens = F.regexp_extract_all(line, F.lit(r'(?=(a[0-9]="[^"]+"))'), F.lit(1))
+
+    def joined(found: Column) -> Column:
+        first = lambda name: F.get(F.filter(found, lambda t: F.startswith(t, name)), F.lit(0))
+        value = lambda t: F.substring(t, 5, F.length(t) - 5)
+        rest = F.filter(
+            F.transform(F.array(*[F.lit(f"a{i}=") for i in range(1, 10)]), first),
+            lambda t: t.isNotNull(),
+        )
+        head = F.coalesce(value(first(F.lit("a0="))), F.lit(""))
+        return F.array_join(F.concat(F.array(head), F.transform(rest, value)), " ")
 
+    return F.when(is_execve(line), let(tokens, joined)).otherwise(F.lit("N/A"))
 
-def techniques(
+
+def technique_text(
     cmd: Column | str,
     dictionary: Mapping[str, Sequence[str]] = TECHNIQUES,
     mode: str = "compat",
 ) -> Column:
-    """Technique ids a command hints at, sorted, each at most once.
+    """Technique ids a command hints at, sorted and comma-joined; '' for none.
 
     ``compat`` tests plain substrings; ``strict`` asks for whole words (a
     version number after the word is allowed: ``python3.11``).
     """
+    # The dictionary is one literal walked per row.  Spelled out as dozens of
+    # tests it would make a generated method too large to be compiled.
     cmd = col(cmd)
-    hits = []
-    for technique in sorted(dictionary):
-        patterns = dictionary[technique]
-        if mode == "strict":
-            words = "|".join(re.escape(p) for p in patterns)
-            hit = cmd.rlike(rf"(?:^|[^\w.-])(?:{words})[0-9.]*(?:$|[^\w-])")
-        else:
-            hit = F.lit(False)
-            for p in patterns:
-                hit = hit | F.contains(cmd, F.lit(p))
-        hits.append(F.when(hit, F.lit(technique)))
-    return F.array_compact(F.array(*hits))
+    if mode == "strict":
+        pattern = lambda ps: rf"(?:^|[^\w.-])(?:{'|'.join(map(re.escape, ps))})[0-9.]*(?:$|[^\w-])"
+        hits = [F.when(cmd.rlike(pattern(dictionary[t])), F.lit(t)) for t in sorted(dictionary)]
+        return F.concat_ws(",", *hits)
+    entries = F.array(
+        *[
+            F.struct(F.lit(t).alias("id"), F.array(*map(F.lit, dictionary[t])).alias("patterns"))
+            for t in sorted(dictionary)
+        ]
+    )
+    hit = lambda e: F.exists(e["patterns"], lambda p: F.contains(cmd, p))
+    return F.concat_ws(",", F.transform(F.filter(entries, hit), lambda e: e["id"]))
+
+
+def split_techniques(text: Column | str) -> Column:
+    """The comma-joined ids as an array (empty for '')."""
+    return F.when(col(text) == "", F.array().cast("array<string>")).otherwise(F.split(col(text), ","))
+
+
+def techniques(
+    cmd: Column | str,
+    dictionary: Mapping[str, Sequence[str]] = TECHNIQUES,
+    mode: str = "compat",
+) -> Column:
+    """The same as an array, each id at most once."""
+    return let(technique_text(cmd, dictionary, mode), split_techniques)
 
 
 def technique_list(
@@ -234,5 +261,5 @@ def technique_list(
     dictionary: Mapping[str, Sequence[str]] = TECHNIQUES,
     mode: str = "compat",
 ) -> Column:
-    """The same as one comma-joined text, NULL when nothing matches."""
-    return F.nullif(F.array_join(techniques(cmd, dictionary, mode), ","), F.lit(""))
+    """The same as one text, NULL when nothing matches."""
+    return let(technique_text(cmd, dictionary, mode), lambda t: F.when(t != "", t))

@@ -11,11 +11,8 @@ from logforge.functions.text import col
 
 def utc_text(ts: Column | str) -> Column:
     """``yyyy-MM-dd HH:mm:ss.ffffff`` in UTC, whatever the session zone."""
-    micros = F.unix_micros(col(ts))
-    zoneless = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (micros / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")
-    )
-    return zoneless.cast("string")
+    since = F.unix_micros(col(ts)) * F.expr("INTERVAL '0.000001' SECOND")
+    return (F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + since).cast("string")
 
 
 def rfc3339_time(ts: Column | str, session_zone: bool = False) -> Column:
@@ -88,13 +85,11 @@ def _leef_escape(value: Column) -> Column:
 
 def leef(event_id: Column, fields: dict[str, Column]) -> Column:
     """LEEF 2.0 line: header, then tab-joined fields in a fixed order."""
-    cells = [
-        F.concat(F.lit(f"{name}="), _leef_escape(fields[name].cast("string")))
-        for name in _LEEF_ORDER
-        if name in fields
-    ]
-    header = F.concat(F.lit("LEEF:2.0|Linux|auditd|1.0|"), _leef_escape(event_id), F.lit("|"))
-    return F.concat(header, F.concat_ws("\t", *cells))
+    cells = F.array(
+        *[F.concat(F.lit(f"{n}="), fields[n].cast("string")) for n in _LEEF_ORDER if n in fields]
+    )
+    body = F.array_join(F.transform(cells, _leef_escape), "\t")
+    return F.concat(F.lit("LEEF:2.0|Linux|auditd|1.0|"), event_id, F.lit("|"), body)
 
 
 def octet_frame(line: Column | str) -> Column:

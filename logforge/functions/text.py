@@ -45,10 +45,15 @@ def capture(c: Column | str, pattern: str, groups: int) -> Column:
     """
     c = col(c)
     joined = F.regexp_replace(
-        c, pattern, _SEP.join(f"${i}" for i in range(1, groups + 1))
+        c, pattern, _SEP + _SEP.join(f"${i}" for i in range(1, groups + 1))
     )
-    parts = F.split(joined, _SEP, groups)
-    return F.when(c.rlike(pattern), parts)
+    matched = lambda p: (F.get(p, F.lit(0)) == "") & (F.size(p) == groups + 1)
+    values = let(
+        F.split(joined, _SEP, groups + 1),
+        lambda p: F.when(matched(p), F.slice(p, 2, groups)),
+    )
+    # Text that holds the separator itself could look like a match.
+    return F.when(~F.startswith(c, F.lit(_SEP)) | c.rlike(pattern), values)
 
 
 def first_group(c: Column | str, pattern: str, group: int = 1) -> Column:

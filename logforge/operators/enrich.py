@@ -22,7 +22,7 @@ def rebuild_commands(
     profile: str = "debian",
     dictionary=TECHNIQUES,
 ) -> DataFrame:
-    """Add cmd, line_clean, techniques and the three ids of EXECVE lines.
+    """Add cmd, line_clean, the techniques and the three ids of EXECVE lines.
 
     Lines that are no EXECVE, or have no argument, keep NULL in ``cmd`` and
     their own text in ``line_clean``.  Profile ``manual`` reads quoted
@@ -47,17 +47,23 @@ def rebuild_commands(
     kept = [c for c in df.columns if c not in ("_args", "cmd", "line_clean")]
     df = df.select(*kept, F.explode(F.array(built)).alias("_built")).select(*kept, "_built.*")
     rebuilt = F.col("cmd").isNotNull() if not manual else F.lit(False)
-    return df.withColumns(
+    # Texts first, typed columns after: a pattern used twice would run twice.
+    df = df.withColumns(
         {
-            "techniques": guarded(X.techniques("cmd", dictionary, mode), rebuilt),
+            "_tags": guarded(X.technique_text("cmd", dictionary, mode), rebuilt),
             **{
-                f"{name}_id": guarded(
-                    id_value(F.regexp_extract("line_clean", rf"\b{name}=(\d+)", 1)), rebuilt
-                )
+                f"{name}_id": guarded(F.regexp_extract("line_clean", rf"\b{name}=(\d+)", 1), rebuilt)
                 for name in IDS
             },
         }
     )
+    return df.withColumns(
+        {
+            "techniques": X.split_techniques("_tags"),
+            "mitre_techniques": F.when(F.col("_tags") != "", F.col("_tags")),
+            **{f"{name}_id": id_value(F.col(f"{name}_id")) for name in IDS},
+        }
+    ).drop("_tags")
 
 
 def resolve_ids(
@@ -85,7 +91,7 @@ def add_line_out(df: DataFrame, prefix: str = "") -> DataFrame:
     pairs = {
         "cmd": F.col("cmd"),
         **{f"{n}_name": F.col(f"{n}_name") for n in IDS if f"{n}_name" in df.columns},
-        "mitre_techniques": F.nullif(F.array_join("techniques", ","), F.lit("")),
+        "mitre_techniques": F.col("mitre_techniques"),
     }
     return df.withColumn(
         "line_out",

@@ -10,10 +10,20 @@ from pyspark.sql import functions as F
 from logforge.functions import execve as X
 from logforge.functions.audit import audit_result, field_value, id_value, technique_of_key
 
-EVENT_KEY = ["host", "epoch_ms", "serial"]
+# Serial first: sorts of these keys then compare distinct numbers, not host names.
+EVENT_KEY = ["serial", "epoch_ms", "host"]
+_CALL_IDS = ("auid", "uid", "gid", "euid")
+_CALL_TEXTS = ("arch", "syscall", "exit", "a0", "comm", "exe", "success")
 
 
-def event_columns(line: str = "msg", mode: str = "compat") -> dict[str, Column]:
+def raw_fields(line: Column | str, names: tuple[str, ...]) -> Column:
+    """Struct of field texts ('' if absent), each found by one search."""
+    return F.struct(
+        *[F.regexp_extract(line, rf'\b{n}="?([^"\s]+)', 1).alias(n) for n in names]
+    )
+
+
+def event_aggregates(line: str = "msg", mode: str = "compat") -> list[Column]:
     """Aggregates that turn the records of one event into one row.
 
     Every aggregate has a fixed size and merges before the shuffle, so an
@@ -21,20 +31,27 @@ def event_columns(line: str = "msg", mode: str = "compat") -> dict[str, Column]:
     buffer.
     """
     text, kind = F.col(line), F.col("record_type")
-    syscall = lambda c: F.max(F.when(kind == "SYSCALL", c))
-    return {
-        "n_records": F.count(F.lit(1)),
-        "cmd": F.max(X.command(line, mode)),
-        "path": F.min(F.when((kind == "PATH") & text.rlike(r"\bitem=0\b"), field_value(text, "name"))),
-        **{
-            f"{n}_id": syscall(id_value(F.regexp_extract(text, rf"\b{n}=(\d+)", 1)))
-            for n in ("auid", "uid", "gid", "euid")
-        },
-        **{n: syscall(field_value(text, n)) for n in ("arch", "syscall", "exit", "a0", "comm", "exe")},
-        "success": syscall(field_value(text, "success")),
-        "key": F.max(field_value(text, "key")),
-        "failed": F.max(F.when(audit_result(line) == "failed", 1).otherwise(0)),
-    }
+    first_path = (kind == "PATH") & text.rlike(r"\bitem=0\b")
+    return [
+        F.count(F.lit(1)).alias("n_records"),
+        F.max(X.command(line, mode)).alias("cmd"),
+        F.min(F.when(first_path, field_value(text, "name"))).alias("path"),
+        F.max(F.when(kind == "SYSCALL", raw_fields(text, _CALL_IDS + _CALL_TEXTS))).alias("_call"),
+        F.max(field_value(text, "key")).alias("key"),
+        F.max(F.when(audit_result(line) == "failed", 1).otherwise(0)).alias("failed"),
+    ]
+
+
+def event_columns(df: DataFrame) -> DataFrame:
+    """Typed columns of aggregated events."""
+    kept = [c for c in df.columns if c not in ("_call", "key", "failed")]
+    return df.select(
+        *kept,
+        *[id_value(F.col(f"_call.{n}")).alias(f"{n}_id") for n in _CALL_IDS],
+        *[F.when(F.col(f"_call.{n}") != "", F.col(f"_call.{n}")).alias(n) for n in _CALL_TEXTS],
+        "key",
+        "failed",
+    )
 
 
 def assemble_events(records: DataFrame, line: str = "msg", mode: str = "compat") -> DataFrame:
@@ -42,12 +59,8 @@ def assemble_events(records: DataFrame, line: str = "msg", mode: str = "compat")
 
     Records without an audit header belong to no event and are left out here.
     """
-    columns = event_columns(line, mode)
-    return (
-        records.filter(F.col("epoch_ms").isNotNull())
-        .groupBy(*EVENT_KEY)
-        .agg(*[c.alias(n) for n, c in columns.items()])
-    )
+    grouped = records.filter(F.col("epoch_ms").isNotNull()).groupBy(*EVENT_KEY)
+    return event_columns(grouped.agg(*event_aggregates(line, mode)))
 
 
 def search_condition(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from logforge.facts import ARCH_CODES, ERRNO, SYSCALLS_B32, SYSCALLS_B64, UNSET_ID
 from logforge.functions.audit import field_value, id_value
-from logforge.operators.events import EVENT_KEY, first_match
+from logforge.operators.events import EVENT_KEY, first_match, raw_fields
 from logforge.scale import left_lookup
 
 _IDS = ("auid", "uid", "gid", "euid")
@@ -63,7 +63,7 @@ def _syscall_attributes() -> dict[str, Column]:
         **{n: _hex_number(F.col(n)) for n in ("a0", "a1", "a2", "a3")},
         **{n: id_value(F.col(n)) for n in _IDS},
         "subj_type": F.get(F.split("subj", ":"), F.lit(2)),
-        "stamped_key": F.col("key"),
+        "stamped_key": F.when(F.col("key") != "", F.col("key")),
     }
 
 
@@ -88,7 +88,7 @@ def normalize_events(records: DataFrame, line: str = "msg") -> DataFrame:
     """
     calls = (
         records.filter(F.col("record_type") == "SYSCALL")
-        .select(*EVENT_KEY, F.struct(*[field_value(line, n).alias(n) for n in _RAW]).alias("_raw"))
+        .select(*EVENT_KEY, raw_fields(line, _RAW).alias("_raw"))
         .groupBy(*EVENT_KEY)
         .agg(F.min("_raw").alias("_raw"))
         .select(*EVENT_KEY, "_raw.*")

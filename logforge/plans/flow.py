@@ -29,8 +29,4 @@ def process_lines(
     """
     routed = route(parse_syslog(df, line, year), profile)
     kept = routed.filter(F.col("route").isin(*keep))
-    out = enrich_execve(
-        kept, "msg", mode, "manual" if profile == "manual" else profile, passwd, groups
-    )
-    joined = F.array_join("techniques", ",")
-    return out.withColumn("mitre_techniques", F.when(joined != "", joined))
+    return enrich_execve(kept, "msg", mode, profile, passwd, groups)

@@ -441,6 +441,11 @@ _add("top_commands", LINES, ARGS, sql="""SELECT cmd, count(*) AS n_lines FROM co
 _add("top_users", LINES, sql=f"""SELECT auid, count(*) AS n_lines FROM (SELECT {_value('auid')} AS auid FROM lines)
   WHERE auid IS NOT NULL GROUP BY auid ORDER BY n_lines DESC, auid LIMIT 3""")
 
+_add("sql_functions", LINES, ARGS, sql=f"""SELECT l.event_id, {_TYPE} AS record_type, {_RESULT} AS result, c.cmd
+  FROM lines l LEFT JOIN commands c USING (event_id)""")
+_add("line_hook", LINES, sql="""SELECT event_id, md5(CASE WHEN contains(msg, '): ')
+  THEN substring(msg, strpos(msg, '): ') + 3) ELSE msg END) AS out_md5 FROM lines WHERE NOT starts_with(msg, 'type=PATH')""")
+
 _add("syslog_parse", LINES, sql="""SELECT event_id, us // 1000 AS ts_ms, host, facility, severity, program,
   md5(msg) AS msg_md5 FROM lines""")
 _add("pri_decode", LINES, sql=f"""SELECT event_id, facility * 8 + severity AS pri, facility, severity,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from logforge.functions import audit as A
 from logforge.functions import execve as X
 from logforge.functions import syslog as S
+from logforge.functions.registry import map_lines, register_functions
 from logforge.operators import enrich as E
 from logforge.operators import events as V
 from logforge.operators import reduce as D
@@ -194,6 +195,30 @@ def top_users(spark, sf):
     return P.top_k(lines, "auid", 3)
 
 
+@query
+def sql_functions(spark, sf):
+    """The registered SQL functions over all lines."""
+    register_functions(spark)
+    return fleet_lines(spark, sf).select(
+        "event_id",
+        F.expr("audit_record_type(msg)").alias("record_type"),
+        F.expr("audit_result(msg)").alias("result"),
+        F.expr("execve_command(msg)").alias("cmd"),
+    )
+
+
+def _after_header(line: str) -> str | None:
+    """A line function: text after the audit header; PATH records are dropped."""
+    return None if line.startswith("type=PATH") else line.split("): ", 1)[-1]
+
+
+@query
+def line_hook(spark, sf):
+    """A Python line function through Arrow batches."""
+    lines = fleet_lines(spark, sf).select("event_id", "msg")
+    return map_lines(lines, _after_header, "msg").select("event_id", F.md5("msg").alias("out_md5"))
+
+
 # --- parsing and fields ------------------------------------------------------
 
 

@@ -7,16 +7,20 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logforge.functions.audit import audit_header, record_type
+from logforge.functions.audit import audit_header, header_fields, record_type
 from logforge.functions.syslog import (
+    HEADER,
     facility_number,
     facility_of,
     facility_text,
+    header_words,
+    is_short,
+    long_fields,
     severity_of,
-    syslog_parts,
+    short_fields,
     syslog_time,
 )
-from logforge.functions.text import strip
+from logforge.functions.text import capture, strip
 
 
 def _lines(spark: SparkSession, path: str, stream: bool) -> DataFrame:
@@ -64,28 +68,34 @@ def parse_syslog(df: DataFrame, line: str = "value", year: int | None = None) ->
     """Add pri, facility, severity, ts, host, program, pid and msg.
 
     A line that is no syslog line keeps its text in ``msg`` and NULL elsewhere.
+
+    Nearly all headers are three words, which are checked and cut without
+    touching the message; any other line goes through the whole header pattern.
     """
+    text = F.col(line)
+    staged = df.withColumn("_head", header_words(line)).withColumn(
+        "_short", is_short(F.col("_head"), text)
+    )
     # The one-element explode keeps later filters above the parse; pushed below
-    # it they would run the whole header pattern a second time per line.
-    parts = F.col("_parts")
-    pri = F.get(parts, F.lit(0)).try_cast("int")
-    pid = F.get(parts, F.lit(5)).try_cast("int")
+    # it they would run the header patterns a second time per line.
+    parts = F.when(~F.col("_short"), capture(line, HEADER, 7))
+    staged = staged.select("*", F.explode(F.array(parts)).alias("_parts"))
+    short, long = short_fields(F.col("_head"), text), long_fields(F.col("_parts"))
+    field = {n: F.when(F.col("_short"), short[n]).otherwise(long[n]) for n in short}
     return (
-        df.select("*", F.explode(F.array(syslog_parts(line))).alias("_parts"))
-        .withColumns(
+        staged.withColumns(
             {
-                "pri": pri,
-                "facility": facility_of(pri),
-                "severity": severity_of(pri),
-                "ts": syslog_time(F.get(parts, F.lit(1)), year),
-                "host": F.get(parts, F.lit(2)),
-                "program": F.get(parts, F.lit(3)),
-                "pid": pid,
-                "msg": F.coalesce(F.get(parts, F.lit(6)), F.col(line)),
+                "pri": field["pri"].try_cast("int"),
+                "ts": syslog_time(field["time"], year),
+                "host": field["host"],
+                "program": field["program"],
+                "pid": field["pid"].try_cast("int"),
+                "msg": F.coalesce(field["msg"], text),
             }
         )
+        .drop("_head", "_short", "_parts")
+        .withColumns({"facility": facility_of(F.col("pri")), "severity": severity_of(F.col("pri"))})
         .withColumn("facility_text", facility_text("facility"))
-        .drop("_parts")
     )
 
 
@@ -113,15 +123,11 @@ def parse_received(df: DataFrame, line: str = "value") -> DataFrame:
 
 def parse_audit(df: DataFrame, line: str = "msg") -> DataFrame:
     """Add record_type, epoch_ms and serial of an audit record."""
+    # Exploded for the reason given above: a filter on the header runs it once.
+    head = F.explode(F.array(audit_header(line))).alias("_head")
     return (
-        df.withColumn("_head", audit_header(line))
-        .withColumns(
-            {
-                "record_type": record_type(line),
-                "epoch_ms": F.col("_head.epoch_ms"),
-                "serial": F.col("_head.serial"),
-            }
-        )
+        df.select("*", record_type(line).alias("record_type"), head)
+        .withColumns(header_fields(F.col("_head")))
         .drop("_head")
     )
 

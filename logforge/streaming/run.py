@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logforge.functions.audit import is_execve
 from logforge.operators.enrich import enrich_execve
-from logforge.operators.events import event_columns
+from logforge.operators.events import event_aggregates, event_columns
 from logforge.operators.reduce import extend_repeats, rate_cap, reduce_repeats
 from logforge.operators.routing import forwarded
 
@@ -96,15 +96,14 @@ def assemble_stream(
     records: DataFrame, watermark: str = WATERMARK, line: str = "msg", mode: str = "compat"
 ) -> DataFrame:
     """Events of a record stream, each emitted once the watermark has passed it."""
-    columns = event_columns(line, mode)
-    return (
+    grouped = (
         records.filter(F.col("epoch_ms").isNotNull())
         .withColumn("event_ts", F.timestamp_millis("epoch_ms"))
         .withWatermark("event_ts", watermark)
-        .groupBy("host", "event_ts", "serial")
-        .agg(*[c.alias(n) for n, c in columns.items()])
-        .withColumn("epoch_ms", F.unix_millis("event_ts"))
+        .groupBy("serial", "event_ts", "host")
+        .agg(*event_aggregates(line, mode))
     )
+    return event_columns(grouped).withColumn("epoch_ms", F.unix_millis("event_ts"))
 
 
 def dedup_stream(
@@ -116,7 +115,7 @@ def dedup_stream(
     before the shuffle, so a record repeated without end stays one row per
     task.
     """
-    keys = ["host", "event_ts", "serial", "record_type", line]
+    keys = ["serial", "event_ts", "host", "record_type", line]
     rest = [prefer] + [c for c in records.columns if c not in keys + [prefer, "epoch_ms"]]
     return (
         records.filter(F.col("epoch_ms").isNotNull())

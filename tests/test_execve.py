@@ -103,10 +103,11 @@ def test_strict_techniques_are_whole_words(spark, texts):
 
 def test_fallback_command(spark, texts):
     df = texts(
-        'type=EXECVE a0="ls" a1="" a2="x" a10="z" a3=6161', 'type=EXECVE a1="only"', "type=PATH a0=\"x\""
+        'type=EXECVE a0="ls" a1="" a2="x" a10="z" a3=6161', 'type=EXECVE a1="only"', "type=PATH a0=\"x\"",
+        'type=EXECVE a0="a1=" b="c"', 'type=EXECVE a0="x" a0="y" a9="z" a2="q"', "type=EXECVE",
     )
     got = [r[0] for r in df.orderBy("at").select(X.fallback_command("msg")).collect()]
-    assert got == ["ls x", " only", "N/A"]
+    assert got == ["ls x", " only", "N/A", "a1=  b=", "x q z", ""]
 
 
 def test_historic_output(spark, texts):
