@@ -52,7 +52,10 @@ def rebuild_commands(
         {
             "_tags": guarded(X.technique_text("cmd", dictionary, mode), rebuilt),
             **{
-                f"{name}_id": guarded(F.regexp_extract("line_clean", rf"\b{name}=(\d+)", 1), rebuilt)
+                f"{name}_id": guarded(
+                    F.regexp_extract("line_clean", rf"\b{name}=(\d+)", 1),
+                    rebuilt & F.contains("line_clean", F.lit(f"{name}=")),
+                )
                 for name in IDS
             },
         }

@@ -75,7 +75,8 @@ def apply_lookup(
     df: DataFrame, lookup: DataFrame, key: str = "program", nomatch: str = "PASS"
 ) -> DataFrame:
     """Add ``action`` from a lookup table, ``nomatch`` where it has no entry."""
-    dim = lookup.select(F.col("program").alias(key), "action")
+    # One entry per program, so a repeated entry cannot multiply rows.
+    dim = lookup.groupBy(F.col("program").alias(key)).agg(F.min("action").alias("action"))
     joined = left_lookup(df, dim, [key])
     return joined.withColumn("action", F.coalesce("action", F.lit(nomatch)))
 

@@ -81,26 +81,42 @@ def _access_of_call() -> Column:
 
 
 def normalize_events(records: DataFrame, line: str = "msg") -> DataFrame:
-    """One row per event and path it touches, with typed attributes.
+    """One row per event and path it touches (NULL path if none), with typed attributes.
 
     Both sides are made unique on the event before they meet, so repeated
-    copies of a record cannot multiply.
+    copies of a record cannot multiply.  Events without a path are known from
+    the aggregation; the others meet their paths in an inner join, which the
+    adaptive plan may split on either side if one event touches very many.
     """
+    # With the keys tested here the join below adds no filter of its own, and
+    # both uses of `calls` share one shuffle.
+    for key in EVENT_KEY:
+        records = records.filter(F.col(key).isNotNull())
+    kind = F.col("record_type")
+    name = F.when(kind == "PATH", field_value(line, "name"))
     calls = (
-        records.filter(F.col("record_type") == "SYSCALL")
-        .select(*EVENT_KEY, raw_fields(line, _RAW).alias("_raw"))
+        records.filter(kind.isin("SYSCALL", "PATH"))
+        .select(
+            *EVENT_KEY,
+            F.when(kind == "SYSCALL", raw_fields(line, _RAW)).alias("_raw"),
+            name.isNotNull().alias("_named"),
+        )
         .groupBy(*EVENT_KEY)
-        .agg(F.min("_raw").alias("_raw"))
-        .select(*EVENT_KEY, "_raw.*")
-        .select(*EVENT_KEY, *[c.alias(n) for n, c in _syscall_attributes().items()])
+        .agg(F.min("_raw").alias("_raw"), F.max("_named").alias("_named"))
+        .filter(F.col("_raw").isNotNull())
+        .select(*EVENT_KEY, "_named", "_raw.*")
+        .select(*EVENT_KEY, "_named", *[c.alias(n) for n, c in _syscall_attributes().items()])
+        .withColumn("access", _access_of_call())
     )
     paths = (
-        records.filter(F.col("record_type") == "PATH")
-        .select(*EVENT_KEY, field_value(F.col(line), "name").alias("path"))
+        records.filter(kind == "PATH")
+        .select(*EVENT_KEY, field_value(line, "name").alias("path"))
         .filter(F.col("path").isNotNull())
         .distinct()
     )
-    return calls.join(paths, EVENT_KEY, "left").withColumn("access", _access_of_call())
+    bare = calls.filter(~F.col("_named")).withColumn("path", F.lit(None).cast("string"))
+    touching = calls.filter("_named").join(paths, EVENT_KEY)
+    return touching.unionByName(bare).drop("_named")
 
 
 def _folders(path: Column) -> Column:

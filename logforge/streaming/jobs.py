@@ -13,6 +13,7 @@ from logforge.streaming.run import (
     append_files,
     assemble_stream,
     dedup_stream,
+    repeats_so_far,
     repeats_stream,
     windowed_counts,
 )
@@ -78,6 +79,4 @@ def stream_repeat(spark: SparkSession, sf: str) -> DataFrame:
         lines, ["host", "program"], ["us", "event_id"], f"{base}/runs", f"{base}/checkpoint"
     )
     query.awaitTermination()
-    last = query.lastProgress["batchId"] if query.lastProgress else 0
-    closed = spark.read.parquet(f"{base}/runs/closed").drop("batch_id")
-    return closed.unionByName(spark.read.parquet(f"{base}/runs/open/batch_id={last}"))
+    return repeats_so_far(spark, f"{base}/runs")

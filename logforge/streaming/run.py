@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -166,6 +166,14 @@ def repeats_stream(
     return each_batch(lines, handle, checkpoint)
 
 
+def repeats_so_far(spark: SparkSession, out: str) -> DataFrame:
+    """Finished runs and the open ones of the newest batch."""
+    opened = spark.read.parquet(f"{out}/open")
+    newest = opened.agg(F.max("batch_id")).first()[0]  # one number
+    current = opened.filter(F.col("batch_id") == newest)
+    return spark.read.parquet(f"{out}/closed").unionByName(current).drop("batch_id")
+
+
 def rate_cap_stream(
     lines: DataFrame,
     keys: list[str],
