@@ -9,6 +9,7 @@ from logforge.facts import TECHNIQUES
 from logforge.functions import execve as X
 from logforge.functions import render as R
 from logforge.functions.audit import field_columns, id_value, is_execve, shape_struct
+from logforge.operators.events import assemble_events
 from logforge.operators.routing import drop_proctitle
 from logforge.scale import fits, left_lookup
 
@@ -118,6 +119,30 @@ def enrich_execve(
     return add_line_out(resolve_ids(df, passwd, groups))
 
 
+def enrich_events(
+    records: DataFrame,
+    passwd: DataFrame | None = None,
+    groups: DataFrame | None = None,
+    line: str = "msg",
+    mode: str = "compat",
+    dictionary=TECHNIQUES,
+) -> DataFrame:
+    """Whole events enriched: ids and names from SYSCALL, command and techniques from EXECVE.
+
+    EXECVE records carry no ids of their own on most systems, so names can
+    only be added once the records of an event are together.
+    """
+    events = assemble_events(records, line, mode)
+    tagged = events.withColumn("_tags", X.technique_text("cmd", dictionary, mode))
+    tagged = tagged.withColumns(
+        {
+            "techniques": F.when(F.col("cmd").isNotNull(), X.split_techniques("_tags")),
+            "mitre_techniques": F.when(F.col("cmd").isNotNull() & (F.col("_tags") != ""), F.col("_tags")),
+        }
+    ).drop("_tags")
+    return resolve_ids(tagged, passwd, groups)
+
+
 def extract_fields(df: DataFrame, mode: str = "compat", line: str = "msg") -> DataFrame:
     """Add the eight forwarded fields with their defaults."""
     return df.withColumns(field_columns(line, mode))

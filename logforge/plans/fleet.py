@@ -41,12 +41,15 @@ def _text(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def fleet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive_lines(spark.read.parquet(f"{sf_dir}/events.parquet"))
+def fleet_lines(spark: SparkSession, sf_dir: str, text: bool = True) -> DataFrame:
+    return derive_lines(spark.read.parquet(f"{sf_dir}/events.parquet"), text)
 
 
-def derive_lines(events: DataFrame) -> DataFrame:
-    """One log line per event row: eight rows make one audit event and its company."""
+def derive_lines(events: DataFrame, text: bool = True) -> DataFrame:
+    """One log line per event row: eight rows make one audit event and its company.
+
+    Without ``text`` only the columns beside message and line are made.
+    """
     e = events.select("event_id", "ts", "user_id", "event_type").withColumns(
         {
             "g": F.expr("event_id div 8"),
@@ -139,20 +142,22 @@ def derive_lines(events: DataFrame) -> DataFrame:
             "facility": F.when(k <= 4, 19).when(k <= 6, 10).otherwise(by_group(1)),
         }
     )
+    columns = [
+        "event_id", "us", "user_id", "event_type", "host", "facility", "severity", "program",
+    ]
+    if not text:
+        return e.select(*columns)
     # As if scanned: the explode keeps later filters from repeating the text building.
     e = e.withColumn("msg", F.explode(F.array("msg")))
-    text, millis = F.col("ts").cast("string"), F.expr("us div 1000 % 1000").cast("string")
+    stamp, millis = F.col("ts").cast("string"), F.expr("us div 1000 % 1000").cast("string")
     return e.withColumn(
         "line",
         _text(
             "<", F.col("facility") * 8 + F.col("severity"), ">",
-            F.substring(text, 1, 10), "T", F.substring(text, 12, 8), ".",
+            F.substring(stamp, 1, 10), "T", F.substring(stamp, 12, 8), ".",
             F.lpad(millis, 3, "0"), "Z ", F.col("host"), " ", F.col("program"), ": ", F.col("msg"),
         ),
-    ).select(
-        "event_id", "us", "user_id", "event_type", "host", "facility", "severity", "program",
-        "msg", "line",
-    )
+    ).select(*columns, "msg", "line")
 
 
 def accounts(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

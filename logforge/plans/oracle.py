@@ -554,6 +554,10 @@ _add("result_ratio", LINES, sql=f"""SELECT record_type, program, count(*) AS n_l
   FROM (SELECT {_TYPE} AS record_type, program, {_RESULT} AS result FROM lines) GROUP BY record_type, program""")
 
 _add("event_assembly", LINES, ARGS, RECORDS, EVENTS, sql="SELECT * FROM assembled")
+_add("event_enrichment", LINES, ARGS, NAMES, RECORDS, EVENTS, sql=f"""SELECT a.host, a.epoch_ms, a.serial, a.cmd,
+  nullif(array_to_string({_tags('a.cmd')}, ','), '') AS mitre_techniques, p1.name AS auid_name, p2.name AS uid_name,
+  p3.name AS gid_name FROM assembled a LEFT JOIN passwd p1 ON p1.host = a.host AND p1.id = a.auid_id
+  LEFT JOIN passwd p2 ON p2.host = a.host AND p2.id = a.uid_id LEFT JOIN grp p3 ON p3.host = a.host AND p3.id = a.gid_id""")
 _add("event_search", LINES, RECORDS, sql="""SELECT event_id, epoch_ms, serial FROM records WHERE epoch_ms >= 1704067300000
   AND record_type = 'SYSCALL' AND contains(msg, ' success=yes ') AND contains(msg, ' comm="sudo" ')""")
 _add("event_records_by_key", LINES, RECORDS, sql="""SELECT r.event_id, r.host, r.epoch_ms, r.serial, r.record_type

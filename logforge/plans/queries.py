@@ -106,7 +106,7 @@ def execve_hex_decode(spark, sf):
 @query
 def execve_enriched_line(spark, sf):
     lines = fleet_lines(spark, sf)
-    passwd, groups = accounts(lines)
+    passwd, groups = accounts(fleet_lines(spark, sf, text=False))
     out = E.enrich_execve(lines.filter(A.is_execve("msg")), passwd=passwd, groups=groups)
     return out.select("event_id", "line_out")
 
@@ -144,7 +144,7 @@ def execve_fallback_command(spark, sf):
 @query
 def identity_names(spark, sf):
     lines = fleet_lines(spark, sf)
-    passwd, groups = accounts(lines)
+    passwd, groups = accounts(fleet_lines(spark, sf, text=False))
     out = E.resolve_ids(E.rebuild_commands(lines.filter(A.is_execve("msg"))), passwd, groups)
     return out.select(
         "event_id", "auid_id", "uid_id", "gid_id", "auid_name", "uid_name", "gid_name"
@@ -372,20 +372,20 @@ def split_outputs(spark, sf):
 def processed_lines(spark, sf):
     """The whole line job: parse, route, enrich; one row per forwarded line."""
     lines = fleet_lines(spark, sf)
-    passwd, groups = accounts(lines)
+    passwd, groups = accounts(fleet_lines(spark, sf, text=False))
     out = process_lines(lines.select("event_id", "line"), "line", passwd=passwd, groups=groups)
     return out.select("event_id", "route", "cmd", "mitre_techniques", F.md5("line_out").alias("out_md5"))
 
 
 @query
 def ignore_lookup(spark, sf):
-    lines = fleet_lines(spark, sf).select("event_id", "program")
+    lines = fleet_lines(spark, sf, text=False).select("event_id", "program")
     return R.apply_lookup(lines, lookups.ignored_programs(spark))
 
 
 @query
 def ignore_drop(spark, sf):
-    lines = fleet_lines(spark, sf).select("event_id", "program")
+    lines = fleet_lines(spark, sf, text=False).select("event_id", "program")
     return R.drop_ignored(lines, lookups.ignored_programs(spark))
 
 
@@ -498,19 +498,19 @@ def unwanted_count(spark, sf):
 
 @query
 def volume_since(spark, sf):
-    lines = _timed(fleet_lines(spark, sf))
+    lines = _timed(fleet_lines(spark, sf, text=False))
     return P.volume_since(lines, F.timestamp_micros(F.lit(SINCE_US)))
 
 
 @query
 def eps_by_minute(spark, sf):
-    out = P.events_per_second(_timed(fleet_lines(spark, sf)))
+    out = P.events_per_second(_timed(fleet_lines(spark, sf, text=False)))
     return out.select(F.unix_micros("window.start").alias("start_us"), "host", "n_lines")
 
 
 @query
 def volume_reduction(spark, sf):
-    lines = R.route(fleet_lines(spark, sf))
+    lines = R.route(fleet_lines(spark, sf, text=False))
     return P.volume_reduction(lines).select("route", "program", F.col("level").cast("int").alias("level"), "n_lines")
 
 
@@ -527,6 +527,14 @@ def event_assembly(spark, sf):
     return V.assemble_events(_records(spark, sf))
 
 
+@query
+def event_enrichment(spark, sf):
+    """Events with names from SYSCALL and techniques from EXECVE."""
+    passwd, groups = accounts(fleet_lines(spark, sf, text=False))
+    out = E.enrich_events(_records(spark, sf), passwd, groups)
+    return _event_key(out, "cmd", "mitre_techniques", "auid_name", "uid_name", "gid_name")
+
+
 @query
 def event_search(spark, sf):
     out = V.search(_records(spark, sf), start_ms=START_MS, record_type="SYSCALL", success="yes", comm="sudo")

@@ -19,11 +19,11 @@ from logforge.streaming.run import (
 )
 
 
-def stream_lines(spark: SparkSession, sf: str) -> DataFrame:
+def stream_lines(spark: SparkSession, sf: str, text: bool = True) -> DataFrame:
     path = f"{sf}/events.parquet"
     schema = spark.read.parquet(path).schema
     # A file stream takes folders and patterns: the braces make one of a single file.
-    return derive_lines(spark.readStream.schema(schema).parquet(f"{sf}/{{events.parquet}}"))
+    return derive_lines(spark.readStream.schema(schema).parquet(f"{sf}/{{events.parquet}}"), text)
 
 
 def _finished(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -34,7 +34,7 @@ def _finished(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def stream_route_enrich(spark: SparkSession, sf: str) -> DataFrame:
-    passwd, groups = accounts(fleet_lines(spark, sf))
+    passwd, groups = accounts(fleet_lines(spark, sf, text=False))
     lines = stream_lines(spark, sf).select("event_id", "line")
     out = process_lines(lines, "line", passwd=passwd, groups=groups)
     return _finished(
@@ -43,7 +43,7 @@ def stream_route_enrich(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_eps(spark: SparkSession, sf: str) -> DataFrame:
-    lines = stream_lines(spark, sf).select("host", F.timestamp_micros("us").alias("ts"))
+    lines = stream_lines(spark, sf, text=False).select("host", F.timestamp_micros("us").alias("ts"))
     counts = windowed_counts(lines, "5 minutes")
     return _finished(
         spark,

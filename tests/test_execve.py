@@ -121,7 +121,7 @@ def test_prefix_option(spark, texts):
     assert add_line_out(out, prefix="PROCESSED: ").first()["line_out"].startswith("PROCESSED: type=EXECVE cmd=")
 
 
-def _expected(line):
+def expected(line):
     """The rules, stated row by row: (cmd, cleaned line)."""
     if "type=EXECVE" not in line:
         return None, line
@@ -155,7 +155,7 @@ def test_random_lines(spark, seed):
     rows = enrich_execve(df).select("msg", "cmd", "line_clean", "techniques").collect()
     assert sum(r["cmd"] is not None for r in rows) > 500
     for row in rows:
-        cmd, clean = _expected(row["msg"])
+        cmd, clean = expected(row["msg"])
         assert (row["cmd"], row["line_clean"]) == (cmd, clean), row["msg"]
         if cmd is not None:
             assert row["techniques"] == sorted(t for t, ps in TECHNIQUES.items() if any(p in cmd for p in ps))
