@@ -41,12 +41,16 @@ def rebuild_commands(
     clean = X.clean_line_manual(line) if manual else X.clean_line(line, mode)
     built = F.struct(
         guarded(F.array_join("_args", " "), has_args).alias("cmd"),
-        F.when(has_args, clean).otherwise(F.col(line)).alias("line_clean"),
+        guarded(clean, has_args).alias("line_clean"),
     )
     # The one-element explode keeps later filters (on techniques, say) from
     # being pushed below the rebuild and running it again.
     kept = [c for c in df.columns if c not in ("_args", "cmd", "line_clean")]
-    df = df.select(*kept, F.explode(F.array(built)).alias("_built")).select(*kept, "_built.*")
+    df = df.select(*kept, F.explode(F.array(built)).alias("_built")).select(
+        *kept,
+        F.col("_built.cmd").alias("cmd"),
+        F.coalesce("_built.line_clean", line).alias("line_clean"),
+    )
     rebuilt = F.col("cmd").isNotNull() if not manual else F.lit(False)
     # Texts first, typed columns after: a pattern used twice would run twice.
     df = df.withColumns(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logforge.facts import (
     EXCLUDED_TYPES,
+    FACILITIES,
     KEEP_PROFILES,
     NOISE_PROFILES,
     NOISE_TEXTS,
@@ -17,7 +18,6 @@ from logforge.facts import (
     SEVERITIES,
 )
 from logforge.functions.audit import is_execve, record_type
-from logforge.functions.syslog import facility_text
 from logforge.functions.text import col
 from logforge.scale import left_lookup
 
@@ -27,11 +27,16 @@ def _member(c: Column, values) -> Column:
     return F.coalesce(c.isin(*values), F.lit(False)) if values else F.lit(False)
 
 
+def _facility_in(facility: Column | str, names) -> Column:
+    """Facility (a number) is one of the named ones."""
+    return _member(col(facility), [FACILITIES.index(n) for n in names])
+
+
 def is_noise(profile: str = "debian", program="program", facility="facility") -> Column:
     """True for programs and facilities the profile drops (case-sensitive)."""
     sets = NOISE_PROFILES[profile]
     program = col(program)
-    noise = _member(program, sets["name"]) | _member(facility_text(facility), sets["facility"])
+    noise = _member(program, sets["name"]) | _facility_in(facility, sets["facility"])
     for prefix in sets["prefix"]:
         noise = noise | F.coalesce(F.startswith(program, F.lit(prefix)), F.lit(False))
     return noise
@@ -39,9 +44,7 @@ def is_noise(profile: str = "debian", program="program", facility="facility") ->
 
 def is_security(profile: str = "debian", program="program", facility="facility") -> Column:
     sets = KEEP_PROFILES[profile]
-    return _member(col(program), sets["name"]) | _member(
-        facility_text(facility), sets["facility"]
-    )
+    return _member(col(program), sets["name"]) | _facility_in(facility, sets["facility"])
 
 
 def route(df: DataFrame, profile: str = "debian") -> DataFrame:
@@ -118,7 +121,7 @@ def selector_test(selector: str, facility: Column, severity: Column) -> Column:
     chosen = F.lit(False)
     for part in selector.split(";"):
         names, level = part.rsplit(".", 1)
-        here = F.lit(True) if names == "*" else _member(facility, names.split(","))
+        here = F.lit(True) if names == "*" else _facility_in(facility, names.split(","))
         if level == "none":
             chosen = chosen & ~here
         elif level == "*":
@@ -138,9 +141,9 @@ def route_selectors(
     rules = list(selectors)
     if local_copy:
         rules.append(("local3.*", local_copy))
-    name = facility_text("facility")
     tests = [
-        F.when(selector_test(sel, name, F.col("severity")), F.lit(sink)) for sel, sink in rules
+        F.when(selector_test(sel, F.col("facility"), F.col("severity")), F.lit(sink))
+        for sel, sink in rules
     ]
     sinks = F.array_distinct(F.array_compact(F.array(*tests)))
     return df.withColumn("sink", F.explode(sinks))
