@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,18 +35,37 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import repeated_lines
+
+    found = repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .license_scan import scan_licenses
 
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import filter_urls
 
     return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mix_sources, op5_license_scan, op7_url_filter)
+    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op6_jaccard_join, op7_url_filter, op9_decontamination)
 }

@@ -80,7 +80,7 @@ def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int
     data, offsets = buffers(column)
     rows, at = len(offsets) - 1, 0
     while at < rows:
-        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        end = min(max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1), at + 5000)
         yield at, end, data[offsets[at] : offsets[end]], offsets[at : end + 1] - offsets[at]
         at = end
 
