@@ -66,6 +66,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import repeated_bytes
+
+    found = repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op6_jaccard_join, op7_url_filter, op9_decontamination)
+    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op6_jaccard_join, op7_url_filter, op9_decontamination, op10_suffix_dedup)
 }
