@@ -60,6 +60,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import find_leaks
 
@@ -74,5 +80,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op6_jaccard_join, op7_url_filter, op9_decontamination, op10_suffix_dedup)
+    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op6_jaccard_join, op7_url_filter, op8_lm_score, op9_decontamination, op10_suffix_dedup)
 }
