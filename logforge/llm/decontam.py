@@ -181,14 +181,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, least: f
     for n in range(blocks):
         rows = sized.where(F.col("_block") == n).orderBy("item_id", "text").collect()  # at most a block
         items = Items([r["item_id"] for r in rows], [r["text"] for r in rows], gram)
+        if not len(items.distinct):
+            continue
         counted = texts.mapInArrow(_count(items, gram), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).collect()
         seed = rare_seeds(items, {r["h"] & (2**64 - 1): r["n"] for r in counted}, rare, share)
         pairs = texts.mapInArrow(_align(items, seed, gram, least, schema), schema)
         # Written: a later block, or another use, does not align again.
         pairs.write.parquet(f"{base}/{n}")
         parts.append(spark.read.schema(schema).parquet(f"{base}/{n}"))
-    out = parts[0]
-    for p in parts[1:]:
+    out = spark.createDataFrame([], schema)
+    for p in parts:
         out = out.union(p)
     best = F.max(F.struct("score", "end_word")).alias("_")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "_.score", "_.end_word")

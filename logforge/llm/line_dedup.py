@@ -129,9 +129,11 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, near_words:
     """``docs`` with the repeated lines taken out of ``text``; all rows and columns stay."""
     base = work_dir(docs.sparkSession, "line-texts")
     removed = repeated_lines(docs, min_words, near_words).where(F.size("removed") > 0)
-    removed = land(removed.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), F.col("removed.line_no").alias("_gone")), f"{base}/removed")
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t"))
+    # Names that no column of the input has.
+    key, of, gone = (next(f"{n}{k}" for k in range(len(docs.columns) + 1) if f"{n}{k}" not in docs.columns) for n in ("_doc", "_hash", "_gone"))
+    removed = land(removed.select(F.col("doc_id").alias(key), F.col("text_hash").alias(of), F.col("removed.line_no").alias(gone)), f"{base}/removed")
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(of))
     joined = docs.join(removed, same, "left")
-    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(gone, i))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return joined.withColumn("text", text).select(*docs.columns)

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logforge.scale import work_dir
+
 WORD = re.compile(r"\w+")
 QUOTES = "\"'`“”„«»‘’"
 # Words that report what somebody else says, or speak about a word.
@@ -29,13 +31,15 @@ CONTEXT = 4
 # Labelled rows that the lexicon and the weights are fitted on, at most; the text of no other row is read for it.
 FIT_ROWS = 20_000
 LEXICON = 400
-N_FEATURES = 6
+N_FEATURES = 4
+# What a match counts with: by distance, and again if quoted.
+DISTANCE, QUOTED = (1.0, 0.7, 0.5), 0.5
 
 
 class Lexicon:
     """Terms with the edits each allows, as a lazily determinised product automaton."""
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], allowed: list[int] | None = None):
         self.terms = terms
         nodes: list[dict[str, int]] = [{}]
         final: dict[int, int] = {}
@@ -48,7 +52,7 @@ class Lexicon:
                 at = nodes[at][c]
             final[at] = k
         self.nodes, self.final = nodes, final
-        self.allowed = [edits(t) for t in terms]
+        self.allowed = [edits(t) for t in terms] if allowed is None else allowed
         self.most = max(self.allowed, default=0)
         self.ids: dict[frozenset, int] = {}
         self.states: list[frozenset] = []
@@ -114,10 +118,10 @@ def edits(term: str) -> int:
 
 
 class Finder:
-    """Lexicon matches of a text, each as (kind, term, distance, quoted)."""
+    """Lexicon matches of a text, each as (term, distance, quoted)."""
 
-    def __init__(self, terms: list[str]):
-        self.lexicon = Lexicon(terms)
+    def __init__(self, terms: list[str], allowed: list[int] | None = None):
+        self.lexicon = Lexicon(terms, allowed)
         self.memo: dict[str, tuple[int, int] | None] = {}
 
     def hits(self, text: str) -> tuple[list[tuple[int, int, bool]], int]:
@@ -150,15 +154,17 @@ def quoted(text: str, words: list[str], spans: list[tuple[int, int]], i: int) ->
     return any(w in REPORTING for w in words[max(0, i - 2) : i])
 
 
-def features(hits: list[tuple[int, int, bool]], n: int, weight: np.ndarray) -> list[float]:
-    """Of the strongest terms and of how many there are, with abuse, misspelling and quotation apart."""
-    kinds = [[0.0, 0] for _ in range(4)]  # exact, misspelled; then the same quoted
-    for term, distance, inside in hits:
-        k = (distance > 0) + 2 * inside
-        kinds[k][0] = max(kinds[k][0], float(weight[term]))
-        kinds[k][1] += 1
-    plain = sum(kinds[k][1] for k in (0, 1))
-    return [k[0] for k in kinds] + [math.log1p(plain), math.log1p(kinds[2][1] + kinds[3][1])]
+def features(hits: list[tuple[int, int, bool]], weight: np.ndarray) -> list[float]:
+    """Strength of the strongest match, how many there are, and the strength again where all are misspelled or all quoted.
+
+    Matches count less if misspelled or quoted.  The last two let the weights
+    say how much less, if the labelled texts show it.
+    """
+    if not hits:
+        return [0.0] * N_FEATURES
+    worth = [DISTANCE[d] * (QUOTED if q else 1.0) for _, d, q in hits]
+    top = max(float(weight[t]) * w for (t, _, _), w in zip(hits, worth, strict=True))
+    return [top, math.log1p(sum(worth)), top * all(d for _, d, _ in hits), top * all(q for _, _, q in hits)]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 30) -> np.ndarray:
@@ -192,46 +198,54 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) ->
     return docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "_toxic")
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Terms, their weights and the logistic weights; no labels: no terms and a score of 0.
+def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], list[int], np.ndarray, np.ndarray]:
+    """Terms, the edits each allows, their weights and the logistic weights; no labels: no terms and a score of 0.
 
     A term is a word of three letters or more that three, and two in a hundred, toxic texts
     hold and that is at least twenty times likelier in toxic texts than in clean
-    ones; the ``LEXICON`` strongest stay.
+    ones; the ``LEXICON`` strongest stay.  A term whose misspellings turn up in
+    clean texts about as often as in toxic ones allows none.
     """
     spark = docs.sparkSession
-    from logforge.scale import work_dir
-
     base = work_dir(spark, "toxicity")
     labelled_texts(docs, labels, rows).write.parquet(f"{base}/labelled")
     texts = spark.read.parquet(f"{base}/labelled")
     sizes = {r[0]: r[1] for r in texts.groupBy("_toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic:
-        return [], np.zeros(0), np.array([0.0] * N_FEATURES + [-30.0])
+        return [], [], np.zeros(0), np.array([0.0] * N_FEATURES + [-30.0])
     word = F.explode(F.array_distinct(F.split(F.lower("text"), r"(?U)\W+"))).alias("word")
     counts = texts.select(word, "_toxic").groupBy("word").agg(F.sum("_toxic").alias("t"), F.sum(1 - F.col("_toxic")).alias("c"))
     odds = F.log((F.col("t") + 0.05) / toxic / ((F.col("c") + 0.05) / max(clean, 1)))
     strong = counts.where((F.length("word") >= 3) & (F.col("t") >= F.greatest(F.lit(3), F.lit(0.02 * toxic)))).withColumn("odds", odds)
     top = strong.where(F.col("odds") >= math.log(20)).orderBy(F.col("odds").desc(), "word").limit(LEXICON).collect()
     terms, weight = [r["word"] for r in top], np.array([min(r["odds"], 6.0) for r in top])
-    schema = T.StructType([T.StructField("y", T.DoubleType()), T.StructField("x", T.ArrayType(T.DoubleType()))])
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def misspelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(terms)
         for batch in batches:
-            x = [features(*finder.hits(t.as_py()), weight) for t in batch.column("text")]
+            found = [(t, y) for text, y in zip(batch.column("text"), batch.column("_toxic").to_pylist(), strict=True) for t in {t for t, d, _ in finder.hits(text.as_py())[0] if d}]
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.int32()), pa.array([y for _, y in found], pa.int32())], names=["term", "y"])
+
+    seen = texts.mapInArrow(misspelled, "term int, y int").groupBy("term").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")).collect()
+    mixed = {r["term"] for r in seen if (r["t"] + 0.5) / toxic < 3 * (r["c"] + 0.5) / max(clean, 1) and r["c"] >= 2}
+    allowed = [0 if k in mixed else edits(t) for k, t in enumerate(terms)]
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(terms, allowed)
+        for batch in batches:
+            x = [features(finder.hits(t.as_py())[0], weight) for t in batch.column("text")]
             y = batch.column("_toxic").cast(pa.float64())
             yield pa.RecordBatch.from_arrays([y, pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
     # At most ``rows`` short rows of numbers.
-    found = texts.mapInArrow(measure, schema).collect()
+    found = texts.mapInArrow(measure, "y double, x array<double>").collect()
     found.sort()
-    return terms, weight, fit_logistic(np.array([r["x"] for r in found]).reshape(-1, N_FEATURES), np.array([r["y"] for r in found]))
+    return terms, allowed, weight, fit_logistic(np.array([r["x"] for r in found]).reshape(-1, N_FEATURES), np.array([r["y"] for r in found]))
 
 
 def score_texts(
-    docs: DataFrame, terms: list[str], weight: np.ndarray, logistic: np.ndarray,
+    docs: DataFrame, terms: list[str], allowed: list[int], weight: np.ndarray, logistic: np.ndarray,
     keep: tuple[str, ...] = ("doc_id",), least: float = 0.3, carry_text: bool = False,
 ) -> DataFrame:
     """``keep`` columns, score, predicted, and the matches as (term, distance, quoted) texts.
@@ -245,14 +259,14 @@ def score_texts(
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(terms)
+        finder = Finder(terms, allowed)
         for whole in batches:
             for at in range(0, max(1, whole.num_rows), 1024):
                 batch = whole.slice(at, 1024)
                 x, matches = [], []
                 for value in batch.column("text"):
-                    hits, n = finder.hits(value.as_py() or "")
-                    x.append(features(hits, n, weight))
+                    hits, _ = finder.hits(value.as_py() or "")
+                    x.append(features(hits, weight))
                     matches.append(sorted({f"{terms[t]}~{d}{' quoted' * q}" for t, d, q in hits}))
                 z = np.array(x).reshape(-1, N_FEATURES) @ logistic[:-1] + logistic[-1]
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
