@@ -14,8 +14,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.3; the labels teach, as far as they are not held out."""
+    from logforge.llm.common import ship
     from logforge.llm.toxicity import score_toxicity
 
+    ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = score_toxicity(docs, labels, keep=COLUMNS, carry_text=True)
     return scored.where(F.col("predicted") == 0).select(*COLUMNS)
@@ -29,20 +31,31 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; rows without id or words stay."""
+    """The document with the smallest id of each group of near duplicates; rows without id or words stay.
+
+    Of rows that share an id one stays, the first by its columns.
+    """
+    from logforge.llm.common import checked, land
     from logforge.llm.jaccard_join import near_duplicates
 
+    base = work_dir(spark, "near-duplicates")
     groups = near_duplicates(docs)
-    gone = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    gone = land(groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), f"{base}/gone")
+    again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
+    again = land(again, f"{base}/again")
+    kept = docs.join(checked(gone), "doc_id", "left_anti").select(*COLUMNS)
+    one = kept.join(checked(again), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return kept.join(checked(again), "doc_id", "left_anti").union(one)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item was found."""
+    """Documents in which no benchmark item was found; rows without an id cannot be named by a find and stay."""
+    from logforge.llm.common import checked, land
     from logforge.llm.decontam import find_leaks
 
     leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    gone = land(leaks.select("doc_id").distinct(), f"{work_dir(spark, 'leaking')}/gone")
+    return docs.join(checked(gone), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
