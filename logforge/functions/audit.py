@@ -99,9 +99,30 @@ def auid_is_user(text: Column | str) -> Column:
     return F.coalesce(id_value(col(text).cast("string")) >= 1000, F.lit(False))
 
 
+# Fields whose text comes from outside: audit writes them in hex if they hold a blank, a quote or a control byte.
+UNTRUSTED = frozenset(("name", "comm", "exe", "cwd", "acct", "key", "dir", "proctitle"))
+
+
 def field_value(line: Column | str, name: str) -> Column:
-    """Value of ``name=`` at a word boundary, NULL if absent or empty."""
-    return first_group(line, rf'\b{name}="?([^"\s]+)')
+    """Value of ``name=`` at a word boundary, NULL if absent, empty or ``(null)``.
+
+    A quoted value is read whole, blanks included.  An unquoted one ends at a
+    blank or at byte 0x1D, where enriched names begin; if it is hex in a field
+    of ``UNTRUSTED`` it is decoded.
+    """
+    value = first_group(
+        line, rf'\b{name}=(?:"|)((?<=")[^"]+|(?<!")(?!\(null\)(?:[\s\x1d]|$))[^"\s\x1d]+)'
+    )
+    if name not in UNTRUSTED:
+        return value
+    digits = first_group(line, rf"\b{name}=((?:[0-9A-F]{{2}})+)(?:[\s\x1d]|$)")
+    return F.coalesce(F.decode(F.unhex(digits), "UTF-8"), value)
+
+
+def event_result(line: Column | str) -> Column:
+    """1 if the record tells of a failure, 0 if of a success, NULL if it has no result."""
+    found = first_group(line, r"\b(?:success|res)=(\w+)")
+    return F.when(found.isin("yes", "success", "1"), 0).when(found.isNotNull(), 1)
 
 
 def technique_of_key(key: Column | str) -> Column:

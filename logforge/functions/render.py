@@ -44,25 +44,30 @@ def traditional_time(ts: Column | str, session_zone: bool = False) -> Column:
     )
 
 
+def _known(value: Column | str, stand_in: str = "-") -> Column:
+    """A line is never lost for a part it lacks: a dash stands for it."""
+    return F.coalesce(col(value), F.lit(stand_in))
+
+
 def rfc3339(ts="ts", host="host", facility="facility", severity="severity",
             program="program", msg="msg") -> Column:
-    """``<PRI>TIME HOST APP: MSG``"""
+    """``<PRI>TIME HOST APP: MSG``; a line without priority has 13, user.notice."""
     return F.concat(
-        F.lit("<"), priority(facility, severity).cast("string"), F.lit(">"),
-        rfc3339_time(ts), F.lit(" "), col(host), F.lit(" "), col(program), F.lit(": "),
-        col(msg),
+        F.lit("<"), _known(priority(facility, severity).cast("string"), "13"), F.lit(">"),
+        _known(rfc3339_time(ts)), F.lit(" "), _known(host), F.lit(" "), _known(program), F.lit(": "),
+        _known(msg, ""),
     )
 
 
 def received(ts="ts", host="host", tag="program", msg="msg") -> Column:
     """``TIME HOST TAG MSG`` as the receiver writes it."""
-    return F.concat_ws(" ", rfc3339_time(ts), col(host), col(tag), col(msg))
+    return F.concat_ws(" ", _known(rfc3339_time(ts)), _known(host), _known(tag), _known(msg, ""))
 
 
 def traditional(ts="ts", host="host", tag="program", msg="msg") -> Column:
     return F.concat(
-        traditional_time(ts), F.lit(" "), col(host), F.lit(" "), col(tag), F.lit(": "),
-        col(msg),
+        _known(traditional_time(ts)), F.lit(" "), _known(host), F.lit(" "), _known(tag), F.lit(": "),
+        _known(msg, ""),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logforge.functions import execve as X
-from logforge.functions.audit import audit_result, field_value, id_value, technique_of_key
+from logforge.functions.audit import event_result, field_value, id_value, technique_of_key
 
 # Serial first: sorts of these keys then compare distinct numbers, not host names.
 EVENT_KEY = ["serial", "epoch_ms", "host"]
@@ -18,9 +18,7 @@ _CALL_TEXTS = ("arch", "syscall", "exit", "a0", "comm", "exe", "success")
 
 def raw_fields(line: Column | str, names: tuple[str, ...]) -> Column:
     """Struct of field texts ('' if absent), each found by one search."""
-    return F.struct(
-        *[F.regexp_extract(line, rf'\b{n}="?([^"\s]+)', 1).alias(n) for n in names]
-    )
+    return F.struct(*[F.coalesce(field_value(line, n), F.lit("")).alias(n) for n in names])
 
 
 def event_aggregates(line: str = "msg", mode: str = "compat") -> list[Column]:
@@ -38,7 +36,7 @@ def event_aggregates(line: str = "msg", mode: str = "compat") -> list[Column]:
         F.min(F.when(first_path, field_value(text, "name"))).alias("path"),
         F.max(F.when(kind == "SYSCALL", raw_fields(text, _CALL_IDS + _CALL_TEXTS))).alias("_call"),
         F.max(field_value(text, "key")).alias("key"),
-        F.max(F.when(audit_result(line) == "failed", 1).otherwise(0)).alias("failed"),
+        F.max(event_result(line)).alias("failed"),
     ]
 
 
@@ -57,12 +55,51 @@ def event_columns(df: DataFrame) -> DataFrame:
 def assemble_events(records: DataFrame, line: str = "msg", mode: str = "compat") -> DataFrame:
     """One row per (host, epoch_ms, serial): ids of SYSCALL, command of EXECVE, first path.
 
+    ``failed`` is 1 or 0 where a record tells a result, else NULL.  All paths
+    are rows of ``event_paths``.
     Records without an audit header belong to no event and are left out here.
     """
     grouped = records.filter(F.col("epoch_ms").isNotNull()).groupBy(*EVENT_KEY)
     return event_columns(grouped.agg(*event_aggregates(line, mode)))
 
 
+def event_paths(records: DataFrame, line: str = "msg") -> DataFrame:
+    """Every path of every event once: (host, epoch_ms, serial, item, path, nametype).
+
+    Copies of a record merge before the shuffle.
+    """
+    text = F.col(line)
+    rows = records.filter(F.col("epoch_ms").isNotNull() & (F.col("record_type") == "PATH"))
+    return rows.select(
+        *EVENT_KEY,
+        field_value(text, "item").try_cast("int").alias("item"),
+        field_value(text, "name").alias("path"),
+        field_value(text, "nametype").alias("nametype"),
+    ).distinct()
+
+
+def search_events(
+    records: DataFrame,
+    start_ms: int | None = None,
+    record_type: str | None = None,
+    success: str | None = None,
+    comm: str | None = None,
+    key: str | None = None,
+    line: str = "msg",
+) -> DataFrame:
+    """All records of the events that meet every criterion, each on any of their records."""
+    given = {"start_ms": start_ms, "record_type": record_type, "success": success, "comm": comm, "key": key}
+    tests = {n: search_condition(**{n: v}, line=line) for n, v in given.items() if v is not None}
+    known = records.filter(F.col("epoch_ms").isNotNull())
+    if not tests:
+        return known
+    # One flag a criterion, merged before the shuffle.
+    flags = [F.max(F.coalesce(t, F.lit(False))).alias(f"_{n}") for n, t in tests.items()]
+    keys = known.groupBy(*EVENT_KEY).agg(*flags)
+    keys = keys.filter(reduce(lambda a, b: a & b, [F.col(f"_{n}") for n in tests])).select(*EVENT_KEY)
+    return known.join(keys, EVENT_KEY, "left_semi")
+
+
 def search_condition(
     start_ms: int | None = None,
     record_type: str | None = None,

@@ -47,6 +47,11 @@ def volume_since(df: DataFrame, since: Column, time: str = "ts") -> DataFrame:
     return df.filter(F.col(time) >= since).agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+def undated(df: DataFrame, ts: str = "ts", keys: tuple[str, ...] = ("host",)) -> DataFrame:
+    """Lines without a time per key: the reports by time leave them out."""
+    return df.filter(F.col(ts).isNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def events_per_second(
     df: DataFrame, width: str = "1 minute", keys: tuple[str, ...] = ("host",), time: str = "ts"
 ) -> DataFrame:

@@ -289,7 +289,8 @@ assembled AS (
       THEN CAST(regexp_extract(msg, '\bauid=(\d+)', 1) AS BIGINT) END) AS auid_id,
     {', '.join(f"max(CASE WHEN record_type = 'SYSCALL' THEN CAST(regexp_extract(msg, '{chr(92)}b{n}=({chr(92)}d+)', 1) AS BIGINT) END) AS {n}_id" for n in ('uid', 'gid', 'euid'))},
     {', '.join(f"max(CASE WHEN record_type = 'SYSCALL' THEN {_value(n)} END) AS {n}" for n in ('arch', 'syscall', 'exit', 'a0', 'comm', 'exe', 'success'))},
-    max({_value('key')}) AS "key", max(CASE WHEN {_RESULT} = 'failed' THEN 1 ELSE 0 END) AS failed
+    max({_value('key')}) AS "key", max(CASE WHEN contains(msg, 'success=yes') OR contains(msg, 'res=success') THEN 0
+      WHEN contains(msg, 'success=no') OR contains(msg, 'res=failed') THEN 1 END) AS failed
   FROM records r LEFT JOIN commands c USING (event_id) WHERE r.epoch_ms IS NOT NULL
   GROUP BY r.host, r.epoch_ms, r.serial)"""
 
@@ -560,6 +561,23 @@ _add("event_enrichment", LINES, ARGS, NAMES, RECORDS, EVENTS, sql=f"""SELECT a.h
   LEFT JOIN passwd p2 ON p2.host = a.host AND p2.id = a.uid_id LEFT JOIN grp p3 ON p3.host = a.host AND p3.id = a.gid_id""")
 _add("event_search", LINES, RECORDS, sql="""SELECT event_id, epoch_ms, serial FROM records WHERE epoch_ms >= 1704067300000
   AND record_type = 'SYSCALL' AND contains(msg, ' success=yes ') AND contains(msg, ' comm="sudo" ')""")
+_add("event_search_across", LINES, RECORDS, sql="""SELECT r.event_id, r.epoch_ms, r.serial, r.record_type FROM records r
+  WHERE r.serial IS NOT NULL
+  AND EXISTS (SELECT 1 FROM records o WHERE o.host = r.host AND o.epoch_ms = r.epoch_ms AND o.serial = r.serial
+    AND o.record_type = 'PATH')
+  AND EXISTS (SELECT 1 FROM records o WHERE o.host = r.host AND o.epoch_ms = r.epoch_ms AND o.serial = r.serial
+    AND contains(o.msg, ' comm="sudo" '))""")
+_add("event_paths", LINES, RECORDS, sql=f"""SELECT DISTINCT host, epoch_ms, serial,
+  CAST(regexp_extract(msg, ' item=(\\d+) ', 1) AS INTEGER) AS item, {_value('name')} AS path,
+  regexp_extract(msg, 'nametype=(\\w+)', 1) AS nametype FROM records WHERE record_type = 'PATH' AND serial IS NOT NULL""")
+_add("undated_lines", LINES, sql="""SELECT host, count(*) AS n_lines FROM (
+  SELECT CASE WHEN event_id % 10 = 3 THEN NULL ELSE ts END AS ts, host FROM lines) WHERE ts IS NULL GROUP BY host""")
+# The two halves of the odd lines, stated as the values they were made from.
+_add("odd_fields", sql="""SELECT event_id, '/srv/my files/' || event_type AS name, 'Web ' || user_id AS comm,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'k' || user_id END AS "key", '/opt/a b/' || event_id AS exe
+  FROM events""")
+_add("odd_rendering", LINES, sql=r"""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '-' ELSE host END || ' ' ||
+  CASE WHEN event_id % 5 = 0 THEN '-' ELSE program END || ': ' || msg AS tail FROM lines""")
 _add("event_records_by_key", LINES, RECORDS, sql="""SELECT r.event_id, r.host, r.epoch_ms, r.serial, r.record_type
   FROM records r WHERE r.epoch_ms >= 1704067300000 AND EXISTS (SELECT 1 FROM records o WHERE o.host = r.host
   AND o.epoch_ms = r.epoch_ms AND o.serial = r.serial AND contains(o.msg, ' key="T1169_Sudo"'))""")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from logforge.functions import audit as A
 from logforge.functions import execve as X
+from logforge.functions import render as N
 from logforge.functions import syslog as S
 from logforge.functions.registry import map_lines, register_functions
 from logforge.operators import enrich as E
@@ -541,6 +542,48 @@ def event_search(spark, sf):
     return out.select("event_id", "epoch_ms", "serial")
 
 
+@query
+def event_search_across(spark, sf):
+    """Events with a path record and, on another record, the command."""
+    out = V.search_events(_records(spark, sf), record_type="PATH", comm="sudo")
+    return out.select("event_id", "epoch_ms", "serial", "record_type")
+
+
+@query
+def event_paths(spark, sf):
+    return V.event_paths(_records(spark, sf))
+
+
+@query
+def undated_lines(spark, sf):
+    """Every tenth line has lost its time."""
+    lines = fleet_lines(spark, sf, text=False).select("event_id", "host")
+    lines = lines.withColumn("ts", F.when(F.col("event_id") % 10 != 3, F.lit(0).cast("timestamp")))
+    return P.undated(lines)
+
+
+@query
+def odd_fields(spark, sf):
+    """Quoted blanks, hex texts, ``(null)`` and enriched tails, made from the events."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    key = F.when(F.col("event_id") % 3 == 0, F.lit("(null)")).otherwise(F.concat(F.lit('"k'), "user_id", F.lit('"')))
+    line = F.concat(
+        F.lit('type=SYSCALL exe='), F.hex(F.concat(F.lit("/opt/a b/"), "event_id").cast("binary")),
+        F.lit(' name="/srv/my files/'), "event_type", F.lit('" comm="Web '), "user_id", F.lit('" key='), key,
+        F.lit('\x1dARCH=x86_64 SYSCALL=execve UID="root"'),
+    )
+    lines = events.select("event_id", line.alias("msg"))
+    return lines.select("event_id", *[A.field_value("msg", n).alias(n) for n in ("name", "comm", "key", "exe")])
+
+
+@query
+def odd_rendering(spark, sf):
+    """Lines that lack time, host or program are rendered all the same."""
+    lines = fleet_lines(spark, sf).withColumn("ts", F.lit(None).cast("timestamp"))
+    lines = lines.withColumn("host", F.when(F.col("event_id") % 3 != 0, F.col("host"))).withColumn("program", F.when(F.col("event_id") % 5 != 0, F.col("program")))
+    return lines.select("event_id", F.regexp_extract(N.rfc3339(), r"(?s)^<\d+>- (.*)$", 1).alias("tail"))
+
+
 @query
 def event_records_by_key(spark, sf):
     out = V.search(_records(spark, sf), start_ms=START_MS, key="T1169_Sudo")

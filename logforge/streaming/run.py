@@ -113,11 +113,11 @@ def dedup_stream(
 
     An aggregation and not ``dropDuplicatesWithinWatermark``: copies merge
     before the shuffle, so a record repeated without end stays one row per
-    task.
+    task.  Lines without an audit header are no records and pass at once.
     """
     keys = ["serial", "event_ts", "host", "record_type", line]
     rest = [prefer] + [c for c in records.columns if c not in keys + [prefer, "epoch_ms"]]
-    return (
+    once = (
         records.filter(F.col("epoch_ms").isNotNull())
         .withColumn("event_ts", F.timestamp_millis("epoch_ms"))
         .withWatermark("event_ts", watermark)
@@ -126,6 +126,8 @@ def dedup_stream(
         .select(*keys, "_first.*")
         .withColumn("epoch_ms", F.unix_millis("event_ts"))
     )
+    headerless = records.filter(F.col("epoch_ms").isNull()).withColumn("event_ts", F.lit(None).cast("timestamp"))
+    return once.unionByName(headerless.select(*once.columns))
 
 
 def repeats_stream(
@@ -193,6 +195,9 @@ def rate_cap_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if per_group <= 0:  # no cap: every line passes, and nothing is counted
+            write_batch(batch, f"{out}/kept", batch_id)
+            return
         # More than the cap can never be kept, so the batch is cut first.
         capped = rate_cap(batch, keys, order, per_group, rank="_rank")
         if batch_id == 0:

@@ -32,9 +32,9 @@ def test_fields_compat_and_strict(spark, texts):
 
 
 def test_header(spark, texts):
-    df = parse_audit(texts("audit(1678886400.123:456):", "audit(123:456)", "audit(1.5:7)", "no", "audit(x:1)"))
+    df = parse_audit(texts("audit(1704070000.250:8123):", "audit(123:456)", "audit(1.5:7)", "no", "audit(x:1)"))
     rows = [(r["epoch_ms"], r["serial"]) for r in df.orderBy("at").collect()]
-    assert rows == [(1678886400123, 456), (123000, 456), (1500, 7), (None, None), (None, None)]
+    assert rows == [(1704070000250, 8123), (123000, 456), (1500, 7), (None, None), (None, None)]
 
 
 def test_unset_ids(spark, texts):
