@@ -116,16 +116,28 @@ def _collapse(
     )
 
 
+# Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
+GROUP_LIMIT = 1000
+CAP_PARTS = 64
+
+
 def rate_cap(
     df: DataFrame, keys: list[str], order: list[str], per_group: int, rank: str | None = None
 ) -> DataFrame:
     """Keep the first ``per_group`` rows of each key (for example host and second).
 
-    The rank filter is a group limit: every task drops rows beyond the cap
-    before the shuffle, so a hot second ships at most the cap per task.
+    Up to Spark's threshold for group limits (1,000 rows) every task drops rows
+    beyond the cap before the shuffle, so a hot second ships at most the cap
+    per task.  A larger cap is applied to parts of each key first, which spread
+    a hot one over ``CAP_PARTS`` tasks, and then to what is left.
     """
     if per_group <= 0:  # zero stands for "no cap"
         return df.withColumn(rank, F.lit(0)) if rank else df
+    if per_group > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(*order), F.lit(CAP_PARTS))
+        inside = Window.partitionBy(*keys, "_part").orderBy(*order)
+        df = df.withColumn("_part", part).withColumn("_at", F.row_number().over(inside))
+        df = df.filter(F.col("_at") <= per_group).drop("_part", "_at")
     window = Window.partitionBy(*keys).orderBy(*order)
     kept = df.withColumn("_at", F.row_number().over(window)).filter(F.col("_at") <= per_group)
     return kept.withColumnRenamed("_at", rank) if rank else kept.drop("_at")

@@ -198,6 +198,30 @@ def compile_rules(rules: DataFrame) -> DataFrame:
     )
 
 
+def unsupported_rules(rules: DataFrame) -> DataFrame:
+    """(ruleset, idx, tests) of the rules with tests that cannot be decided here and so never hold.
+
+    These are fields that events do not carry, ids given by name, comparisons of
+    one field with another, and lists other than exit, exclude and user.  Look at
+    them before a disposition is trusted.
+    """
+    known = ("arch", "key", "perm", "dir", "path", "subj_type", "msgtype", *_NUMERIC)
+
+    def undecided(f: Column) -> Column:
+        v = f["value"]
+        number = v.try_cast("bigint").isNotNull() | v.rlike("^0x[0-9A-Fa-f]+$") | (v == "unset")
+        named = f["name"].isin("exit") & F.coalesce(_lookup(F.ltrim(v, F.lit("-")), ERRNO).isNotNull(), F.lit(False))
+        return ~f["name"].isin(*known) | (f["name"].isin(*_NUMERIC) & ~number & ~named)
+
+    tests = F.transform(F.filter("fields", undecided), lambda f: F.concat(f["name"], f["op"], f["value"]))
+    other = F.when(~F.col("list").isin("exit", "exclude", "user"), F.array(F.concat(F.lit("list="), F.col("list"))))
+    none = F.array().cast("array<string>")
+    out = rules.filter(F.col("kind").isin("watch", "syscall")).select(
+        "ruleset", "idx", F.concat(F.coalesce(tests, none), F.coalesce(other, none)).alias("tests")
+    )
+    return out.filter(F.size("tests") > 0)
+
+
 def _compare(op: Column, a: Column, b: Column) -> Column:
     return (
         F.when(op == "=", a == b)
@@ -224,6 +248,8 @@ def _holds(test: Column) -> Column:
         .when(name == "path", _compare(op, F.col("path"), test["text"]))
         .when(name == "subj_type", _compare(op, F.col("subj_type"), test["text"]))
         .when(test["unset"], F.when(op == "=", number.isNull()).otherwise(number.isNotNull()))
+        .when(op == "&", number.bitwiseAND(test["number"]) != 0)
+        .when(op == "&=", number.bitwiseAND(test["number"]) == test["number"])
         .otherwise(_compare(op, number, test["number"]))
     )
     return F.coalesce(result, F.lit(False))

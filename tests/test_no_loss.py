@@ -75,3 +75,27 @@ def test_headerless_lines_pass_a_stream(spark, tmp_path):
     source = spark.readStream.schema(records(spark).withColumn("program", F.lit("")).schema).parquet(str(tmp_path / "in"))
     append_files(dedup_stream(source), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     assert [r.msg for r in spark.read.parquet(str(tmp_path / "out")).where("serial IS NULL").collect()] == ["cwd=/"]
+
+
+def test_undecided_rules_are_named(spark):
+    from logforge.operators.rule_match import unsupported_rules
+    from logforge.sources.rules import parse_rules
+
+    lines = [
+        "-w /etc/passwd -p wa -k id", "-a always,exit -F arch=b64 -S execve -F auid>=1000 -F auid!=unset -k a", "-a always,exit -S all -C uid!=euid -k b",
+        "-a never,exit -S all -F uid=chrony", "-a always,exit -S open -F exit=-EACCES -k c", "-a always,exit -S open -F exe=/bin/x -F a0&0x40", "-a always,task -F uid=0", "-a never,user -F uid=0",
+    ]
+    rules = parse_rules(spark.createDataFrame([("r", i, v) for i, v in enumerate(lines)], "ruleset STRING, idx INT, value STRING"))
+    got = {r.idx: r.tests for r in unsupported_rules(rules).collect()}
+    assert got == {2: ["uid!=euid"], 3: ["uid=chrony"], 5: ["exe=/bin/x"], 6: ["list=task"]}
+
+
+def test_large_cap(spark):
+    from logforge.operators.reduce import rate_cap
+
+    df = spark.range(9000).select(F.when(F.col("id") < 7000, "hot").otherwise("cold").alias("host"), (F.col("id") * 7919 % 9000).alias("at"))
+    kept = rate_cap(df, ["host"], ["at"], 1500)
+    want = {(r.host, r.at) for r in df.collect()}
+    want = {(h, a) for h in ("hot", "cold") for a in sorted(a for k, a in want if k == h)[:1500]}
+    assert {(r.host, r.at) for r in kept.collect()} == want and kept.columns == df.columns
+    assert sorted(r.n for r in rate_cap(df, ["host"], ["at"], 1500, rank="n").where("host = 'hot'").collect()) == list(range(1, 1501))
