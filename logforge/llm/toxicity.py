@@ -201,7 +201,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) ->
 def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], list[int], np.ndarray, np.ndarray]:
     """Terms, the edits each allows, their weights and the logistic weights; no labels: no terms and a score of 0.
 
-    A term is a word of three letters or more that three, and two in a hundred, toxic texts
+    A term is a word of three letters or more that four, and one in a hundred, toxic texts
     hold and that is at least twenty times likelier in toxic texts than in clean
     ones; the ``LEXICON`` strongest stay.  A term whose misspellings turn up in
     clean texts about as often as in toxic ones allows none.
@@ -217,7 +217,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[lis
     word = F.explode(F.array_distinct(F.split(F.lower("text"), r"(?U)\W+"))).alias("word")
     counts = texts.select(word, "_toxic").groupBy("word").agg(F.sum("_toxic").alias("t"), F.sum(1 - F.col("_toxic")).alias("c"))
     odds = F.log((F.col("t") + 0.05) / toxic / ((F.col("c") + 0.05) / max(clean, 1)))
-    strong = counts.where((F.length("word") >= 3) & (F.col("t") >= F.greatest(F.lit(3), F.lit(0.02 * toxic)))).withColumn("odds", odds)
+    strong = counts.where((F.length("word") >= 3) & (F.col("t") >= F.greatest(F.lit(4), F.lit(0.01 * toxic)))).withColumn("odds", odds)
     top = strong.where(F.col("odds") >= math.log(20)).orderBy(F.col("odds").desc(), "word").limit(LEXICON).collect()
     terms, weight = [r["word"] for r in top], np.array([min(r["odds"], 6.0) for r in top])
 
