@@ -117,6 +117,22 @@ def test_jaccard_chain_and_hot_passage(spark, tmp_path):
     assert got == groups_by_hand(rows) and got[100] == 81
 
 
+def test_jaccard_links_headed_by_others(spark, tmp_path):
+    """All that two similar texts share is headed by long texts that are similar to neither."""
+    rng = random.Random(1)
+    own = lambda k: " ".join(f"own{rng.randrange(10**9)}" for _ in range(k))
+    rows = []
+    for g, size in enumerate((44, 54, 64)):
+        x, y = own(size), own(size)
+        rows += [(10 * g + k, f"{x} {own(1)} {y} {own(7)}", "s") for k in (1, 2)]
+        for k, piece in enumerate((x, y)):
+            long = own(300)
+            rows.append((500 + 10 * g + k, f"{piece} {long}", "s"))
+            rows += [(600 + 100 * g + 10 * k + j, f"{long} {own(60)}", "s") for j in range(6)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(table(spark, rows, tmp_path)).collect()}
+    assert got == groups_by_hand(rows) and [got[k] for k in (2, 12, 22)] == [1, 11, 21]
+
+
 def test_jaccard_empty(spark, tmp_path):
     assert near_duplicates(table(spark, [], tmp_path)).collect() == []
     assert [tuple(r) for r in near_duplicates(table(spark, [(None, "a b", "s"), (3, None, "s")], tmp_path, "two")).orderBy("doc_id").collect()] == [
