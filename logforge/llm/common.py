@@ -6,9 +6,13 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .words import mix
+
 # Rows of a few numbers that may go to every executor (at most some 100 MB there); beyond, both sides are shuffled.
 BROADCAST_ROWS = 2_000_000
 
@@ -19,6 +23,12 @@ def land(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def block_id(before: int) -> int:
+    """Number of the block that this task flushes after ``before`` others: another for each, whatever it holds, and the same on a retry."""
+    own = np.array([TaskContext.get().partitionId() << 32 | before], np.uint64)
+    return int(mix(own).view(np.int64)[0])
+
+
 def checked(small: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``small`` with a broadcast hint if a count shows that it is, else as it is.
 

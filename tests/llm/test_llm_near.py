@@ -11,7 +11,7 @@ from llm_cases import awkward, frame, prose, shingle_set, table, words
 
 from logforge.llm.common import components
 from logforge.llm.decontam import find_leaks, smith_waterman
-from logforge.llm.jaccard_join import near_duplicates
+from logforge.llm.jaccard_join import PERCENT, SIZE, near_duplicates, shared_counts
 from logforge.llm.line_dedup import drop_repeated_lines, repeated_lines
 from logforge.llm.suffix_dedup import common_prefix, merge, ranks, repeated_bytes
 
@@ -133,6 +133,15 @@ def test_jaccard_links_headed_by_others(spark, tmp_path):
     assert got == groups_by_hand(rows) and [got[k] for k in (2, 12, 22)] == [1, 11, 21]
 
 
+def test_jaccard_equal_blocks(spark, tmp_path):
+    """Two partitions of the same rows lose none, and share all their shingles."""
+    frame(spark, [r for r in awkward(2) if r[0] is not None]).coalesce(1).write.parquet(str(tmp_path / "one"))
+    docs = spark.read.parquet(str(tmp_path / "one"))
+    got = [tuple(r) for r in shared_counts(docs.union(docs), SIZE, PERCENT).collect()]
+    sizes = [(r.doc_id, len(shingle_set(r.text))) for r in docs.collect()]
+    assert sorted(got) == sorted(2 * [(i, n, min(n, n - -(-PERCENT * n // 100) + n // 8 + 1)) for i, n in sizes])
+
+
 def test_jaccard_empty(spark, tmp_path):
     assert near_duplicates(table(spark, [], tmp_path)).collect() == []
     assert [tuple(r) for r in near_duplicates(table(spark, [(None, "a b", "s"), (3, None, "s")], tmp_path, "two")).orderBy("doc_id").collect()] == [

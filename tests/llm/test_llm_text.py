@@ -255,6 +255,19 @@ def test_lm_score(spark, tmp_path):
     assert all(again[r.doc_id, r.n_tokens, r.base_score] == r.score for r in got)
 
 
+def test_lm_equal_blocks(spark, tmp_path):
+    """Two partitions of the same rows are scored as one partition that holds them twice."""
+    one = frame(spark, awkward(9)).coalesce(1)
+    one.write.parquet(str(tmp_path / "one"))
+    docs = spark.read.parquet(str(tmp_path / "one"))
+    docs.union(docs).coalesce(1).write.parquet(str(tmp_path / "both"))
+    found = lambda rows: sorted((repr(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6)) for r in rows)
+    got = score_texts(docs.union(docs)).collect()
+    assert found(got) == found(score_texts(spark.read.parquet(str(tmp_path / "both"))).collect())
+    times = Counter((r.doc_id, r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got)
+    assert all(n % 2 == 0 for n in times.values())
+
+
 def test_lm_learns(spark, tmp_path):
     """On held-out texts of a source with order in it, the model beats word counts."""
     rng = random.Random(2)
