@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Benchmark items give their word n-grams.  Their counts over the whole corpus tell
-which are rare, and documents that hold a rare one are aligned with its item
-round that place.  Words are compared as 64-bit hashes; windows of one batch are
-aligned together, row by row of the item.
+Benchmark items give their word n-grams, and a document that holds one is
+compared with its item round that place.  A common n-gram costs little: a window
+is aligned only if it holds as many of the item's words as the score asks for,
+which no alignment can do without.  Words are compared by 64-bit hashes; windows
+of one batch are aligned together, row by row of the item.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +19,15 @@ from pyspark.sql import types as T
 
 from logforge.scale import work_dir
 
-from .words import buffers, chunks, shingles, tokenize
+from .words import buffers, chunks, shingles, starts, tokenize
 
 GRAM = 3
 # Score of an equal word, a different word, a skipped word.
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 # Seeds handled at once: what a task holds of the benchmark.  A larger benchmark goes over the corpus in blocks.
 BLOCK_WORDS = 1_000_000
+# Seeds found in whole rows that are handled at once.
+HITS = 1 << 19
 
 
 class Items:
@@ -40,22 +42,14 @@ class Items:
         order = np.lexsort((at, row, h))
         self.gram_hash, self.gram_item = h[order], row[order]
         self.gram_at = at[order] - words.first[self.gram_item]
-        self.distinct = np.unique(h)
+        self.vocabulary = np.unique(words.hash)
+        self.numbered = [self.numbers(w) for w in self.words]
 
-
-def rare_seeds(items: Items, count: dict[int, int], rare: int, share: float) -> np.ndarray:
-    """Which n-grams are seeds: those at most ``rare`` times in the corpus, and the rarest ``share`` of every item.
-
-    So an item whose n-grams are all common has seeds too.
-    """
-    seen = np.array([count.get(int(h), 0) for h in items.distinct], np.int64)[np.searchsorted(items.distinct, items.gram_hash)]
-    seed = seen <= rare
-    order = np.lexsort((seen, items.gram_item))
-    owner = items.gram_item[order]
-    rank = np.arange(len(order)) - np.searchsorted(owner, owner, "left")
-    size = np.bincount(items.gram_item, minlength=len(items.ids))
-    seed[order] |= rank < np.ceil(share * size[owner])
-    return seed
+    def numbers(self, h: np.ndarray) -> np.ndarray:
+        """Places of words in the benchmark's vocabulary; others have the number after the last."""
+        place = np.searchsorted(self.vocabulary, h)
+        place[place == len(self.vocabulary)] = 0
+        return np.where(self.vocabulary[place] == h, place, len(self.vocabulary)) if len(self.vocabulary) else place
 
 
 def smith_waterman(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,67 +81,64 @@ def _grams(batch: pa.RecordBatch, gram: int) -> Iterator[tuple]:
         yield at, end, words, *shingles(words, gram)
 
 
-def _count(items: Items, gram: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(items.distinct), np.int64)
-        for batch in batches:
-            for _, _, _, _, _, h in _grams(batch, gram):
-                place = np.searchsorted(items.distinct, h)
-                place[place == len(items.distinct)] = 0
-                total += np.bincount(place[items.distinct[place] == h], minlength=len(total))
-        has = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(items.distinct[has].view(np.int64)), pa.array(total[has])], names=["h", "n"])
-
-    return count
-
-
-def _candidates(items: Items, seed: np.ndarray, row: np.ndarray, at: np.ndarray, h: np.ndarray, first: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
-    """For each item the windows (row, first word, word after the last) round its seeds, one for each cluster of them."""
-    keys, key_item, key_at = items.gram_hash[seed], items.gram_item[seed], items.gram_at[seed]
-    low, high = np.searchsorted(keys, h, "left"), np.searchsorted(keys, h, "right")
-    n = high - low
-    hit = np.flatnonzero(n)
+def _candidates(items: Items, row: np.ndarray, at: np.ndarray, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Windows (item, row, first word, word after the last) round the seeds, one for each cluster of them; whole rows at once."""
+    low, high = np.searchsorted(items.gram_hash, h, "left"), np.searchsorted(items.gram_hash, h, "right")
+    hit = np.flatnonzero(high > low)
     if not len(hit):
-        return {}
-    n = n[hit]
-    entry = np.repeat(low[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    row, item = np.repeat(row[hit], n), key_item[entry]
-    begin = np.repeat(at[hit], n) - key_at[entry]  # where the item would begin
+        return
+    n = (high - low)[hit]
+    lead = starts(row[hit])
+    before = (np.cumsum(n) - n)[lead]
+    cuts = np.append(lead[starts(before // HITS)], len(hit))
     size = np.array([len(w) for w in items.words], np.int64)
-    order = np.lexsort((begin, row, item))
-    row, item, begin = row[order], item[order], begin[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > size[item[1:]] // 2)
-    lead = np.flatnonzero(new)
-    last = np.append(lead[1:], len(row)) - 1
-    out = defaultdict(list)
-    for a, b in zip(lead, last, strict=True):
-        k, r = int(item[a]), int(row[a])
-        slack = int(size[k]) // 4 + 4
-        out[k].append((r, max(int(first[r]), int(begin[a]) - slack), min(int(first[r + 1]), int(begin[b]) + int(size[k]) + slack)))
-    return out
-
-
-def _align(items: Items, seed: np.ndarray, gram: int, least: float, schema: T.StructType):
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        some, times = hit[a:b], n[a:b]
+        entry = np.repeat(low[some], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        r, item = np.repeat(row[some], times), items.gram_item[entry]
+        begin = np.repeat(at[some], times) - items.gram_at[entry]  # where the item would begin
+        order = np.lexsort((begin, r, item))
+        r, item, begin = r[order], item[order], begin[order]
+        new = np.ones(len(r), bool)
+        new[1:] = (r[1:] != r[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > size[item[1:]] // 2)
+        head = np.flatnonzero(new)
+        last = np.append(head[1:], len(r)) - 1
+        r, item = r[head], item[head]
+        slack = size[item] // 4 + 4
+        yield item, r, np.maximum(first[r], begin[head] - slack), np.minimum(first[r + 1], begin[last] + size[item] + slack)
+
+
+def _align(items: Items, gram: int, least: float, schema: T.StructType):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(len(items.vocabulary) + 1, bool)
         for batch in batches:
             ids = batch.column("doc_id")
             found: list[tuple] = []
             for at, _, words, row, place, h in _grams(batch, gram):
-                for k, windows in _candidates(items, seed, row, place, h, words.first).items():
-                    item = items.words[k]
-                    windows.sort(key=lambda w: w[2] - w[1])
-                    for part in range(0, len(windows), 256):
-                        some = windows[part : part + 256]
-                        width = max(b - a for _, a, b in some)
-                        grid = np.zeros((len(some), width), np.uint64)
-                        for i, (_, a, b) in enumerate(some):
-                            grid[i, : b - a] = words.hash[a:b]
-                        score, stop = smith_waterman(item, grid)
-                        for i in np.flatnonzero(score >= least * len(item)):
-                            r, a, _ = some[i]
-                            end = a + int(stop[i]) - int(words.first[r])
-                            found.append((ids[at + r].as_py(), items.ids[k], float(score[i]) / len(item), end))
+                known = items.numbers(words.hash)
+                for item, r, a, b in _candidates(items, row, place, h, words.first):
+                    order = np.lexsort((b - a, item))
+                    item, r, a, b = item[order], r[order], a[order], b[order]
+                    lead = starts(item)
+                    for low, high in zip(lead, np.append(lead[1:], len(item)), strict=True):
+                        k = int(item[low])
+                        text = items.numbered[k]
+                        own[text] = True
+                        for part in range(low, high, 256):
+                            s = slice(part, min(part + 256, high))
+                            which = a[s, None] + np.arange(int((b[s] - a[s]).max()))
+                            inside = which < b[s, None]
+                            grid = np.where(inside, known[np.where(inside, which, 0)], len(items.vocabulary))
+                            # A point of the score is an equal word: with fewer words of the item than that, no alignment is enough.
+                            able = np.flatnonzero(own[grid].sum(1) >= least * len(text))
+                            if not len(able):
+                                continue
+                            score, stop = smith_waterman(text, grid[able])
+                            for i in np.flatnonzero(score >= least * len(text)):
+                                w = part + int(able[i])
+                                end = int(a[w]) + int(stop[i]) - int(words.first[r[w]])
+                                found.append((ids[at + int(r[w])].as_py(), items.ids[k], float(score[i]) / len(text), end))
+                        own[text] = False
             columns = list(zip(*found, strict=True)) if found else [()] * 4
             kinds = (ids.type, pa.int64(), pa.float64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.name for f in schema])
@@ -155,15 +146,14 @@ def _align(items: Items, seed: np.ndarray, gram: int, least: float, schema: T.St
     return align
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, least: float = 0.5, rare: int = 1000, share: float = 0.25) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, least: float = 0.5) -> DataFrame:
     """(doc_id, item_id, score, end_word): documents that hold an item or an edited copy of it.
 
     The score is the local alignment's, per word of the item: 1 for a whole
     copy; pairs from ``least`` up are returned, each once, with its best place.
     Items of fewer than ``gram`` words and null or empty ones have no seed and
     are found nowhere, nor are documents without words.  Equal items are both
-    reported.  An n-gram is a seed if the corpus has it ``rare`` times at most,
-    or if it is among the rarest ``share`` of its item.
+    reported.  Every n-gram of an item is a seed, however often the corpus has it.
 
     A block of ``BLOCK_WORDS`` benchmark words goes to every task; more blocks
     go over the documents one after another.
@@ -181,11 +171,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, least: f
     for n in range(blocks):
         rows = sized.where(F.col("_block") == n).orderBy("item_id", "text").collect()  # at most a block
         items = Items([r["item_id"] for r in rows], [r["text"] for r in rows], gram)
-        if not len(items.distinct):
+        if not len(items.gram_hash):
             continue
-        counted = texts.mapInArrow(_count(items, gram), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).collect()
-        seed = rare_seeds(items, {r["h"] & (2**64 - 1): r["n"] for r in counted}, rare, share)
-        pairs = texts.mapInArrow(_align(items, seed, gram, least, schema), schema)
+        pairs = texts.mapInArrow(_align(items, gram, least, schema), schema)
         # Written: a later block, or another use, does not align again.
         pairs.write.parquet(f"{base}/{n}")
         parts.append(spark.read.schema(schema).parquet(f"{base}/{n}"))

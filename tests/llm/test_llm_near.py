@@ -196,6 +196,23 @@ def test_leaks(spark, tmp_path):
     assert find_leaks(frame(spark, rows), spark.createDataFrame([], "item_id long, text string")).collect() == []
 
 
+def test_leaks_of_common_grams(spark, tmp_path):
+    """An edited copy is found however often the corpus has the words that it kept."""
+    rng = random.Random(41)
+    item = prose(rng, 15).split(" ")
+    edited = " ".join([*item[:10], *("swapped" for _ in item[10:])])
+    # What the copy kept is common, what it changed is rare.
+    rows = [(k, f"{' '.join(item[:4])} {k} {' '.join(item[3:7])} {k} {' '.join(item[6:10])}", "s") for k in range(1100)]
+    piece = [(2000 + k, f"{k} {' '.join(item[k : k + 3])} {prose(rng, 30)}", "s") for k in range(8) for _ in range(1100)]
+    rows += [*piece, (5000, f"{prose(rng, 20)} {edited} {prose(rng, 20)}", "s"), (5001, f"{prose(rng, 20)} {' '.join(item)}", "s")]
+    bench = [(7, " ".join(item))]
+    got = {(r.doc_id, r.item_id): r.score for r in find_leaks(table(spark, rows, tmp_path), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    want = {(i, 7): align_by_hand(item, words(t)) / 15 for i, t in {i: t for i, t, _ in rows if i >= 5000}.items()}
+    assert {k: v for k, v in got.items() if k[0] >= 5000} == pytest.approx(want)
+    found = {i for i, t in {i: t for i, t, _ in rows}.items() if align_by_hand(item, words(t)) >= 7.5}
+    assert {i for i, _ in got} == found
+
+
 def bytes_by_hand(rows):
     seen = defaultdict(int)
     data = [(t or "").encode() for _, t, _ in rows]
