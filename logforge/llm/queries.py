@@ -79,6 +79,30 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ball_codes import codebooks_sha256, compress, label_errors
+
+    coded, books = compress(table(spark, sf_dir, "embeddings"))
+    return label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .importance import resample
+
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_circulant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .circulant import near_copies
+
+    return near_copies(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op6_jaccard_join, op7_url_filter, op8_lm_score, op9_decontamination, op10_suffix_dedup)
+    f.__name__: f
+    for f in (
+        op1_toxicity, op2_quality_rules, op3_mix_sources, op4_line_dedup, op5_license_scan, op6_jaccard_join, op7_url_filter, op8_lm_score,
+        op9_decontamination, op10_suffix_dedup, op11_ball_codes, op12_importance, op13_circulant,
+    )
 }
