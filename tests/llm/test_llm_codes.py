@@ -66,7 +66,7 @@ def cloud(seed, n, dim=8):
 
 
 ODD = [
-    (900, None, 1), (901, [1.0, None, 2.0, 3.0, 0, 0, 0, 0], 1), (902, [math.nan] * 8, 1), (903, [math.inf] * 8, 2), (None, [0.1] * 8, None), (None, None, None),
+    (900, None, 1), (901, [1.0, None, 2.0, 3.0], 1), (902, [math.nan] * 8, 1), (903, [math.inf] * 8, 2), (None, [0.1] * 8, None), (None, None, None),
     (5, [0.5] * 8, 1), (5, [-0.5] * 8, 1), (5, [0.5] * 8, 1), (904, [], 3), (905, [0.25], None), (906, [0.25] * 10, 2),
 ]
 
