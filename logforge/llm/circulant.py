@@ -241,7 +241,12 @@ def near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, bands
     links = land(links.union(_confirmed(pairs, held, sizes, percent)), f"{base}/links-1")
 
     open_ = _open(open_, links, f"{base}/last")
-    pairs = open_.join(_others(open_), "key").where((F.col("node") < F.col("other")) & _may_link(percent)).select(*ordered).distinct()
+    mine = land(open_.groupBy("node").agg(F.collect_list("key").alias("keys")), f"{base}/keys")  # one a band
+    open_ = land(open_.join(checked(mine, BROADCAST_ROWS // 8), "node"), f"{base}/keyed")
+    # A pair comes once, in the first bucket of both.
+    once = F.col("key") == F.array_min(F.array_intersect("keys", "other_keys"))
+    both = open_.join(_others(open_).join(mine.select(F.col("node").alias("other"), F.col("keys").alias("other_keys")), "other"), "key")
+    pairs = both.where((F.col("node") < F.col("other")) & _may_link(percent) & once).select(*ordered).distinct()
     pairs = land(pairs.join(tried, ["a", "b"], "left_anti"), f"{base}/pairs")
     edges = land(edges.union(links).union(_confirmed(pairs, held, sizes, percent)).distinct(), f"{base}/edges")
 
