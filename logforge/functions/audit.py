@@ -116,7 +116,8 @@ def field_value(line: Column | str, name: str) -> Column:
     if name not in UNTRUSTED:
         return value
     digits = first_group(line, rf"\b{name}=((?:[0-9A-F]{{2}})+)(?:[\s\x1d]|$)")
-    return F.coalesce(F.decode(F.unhex(digits), "UTF-8"), value)
+    # File names are arbitrary bytes: bad UTF-8 becomes U+FFFD instead of ending the job.
+    return F.coalesce(F.make_valid_utf8(F.unhex(digits).cast("string")), value)
 
 
 def event_result(line: Column | str) -> Column:

@@ -82,35 +82,33 @@ def _compat_entries(line: Column, quoted_only: bool) -> Column:
 _STRICT_ARG = r"""(?:^|\s)(a\d+(?:\[\d+\])?=(?:"[^"]*"|\S*)|[\w-]+=(?:"[^"]*"|'[^']*'|\S*))"""
 
 
-def _strict_entries(line: Column) -> Column:
-    """One entry per argument index, chunks joined, of whole tokens only."""
+def _part(token: Column, rank: Column) -> Column:
+    """Index, chunk and value of one argument token."""
+    name = F.substring_index(token, "=", 1)
+    raw = F.substring(token, F.instr(token, "=") + 1, F.length(token))
+    chunk = F.coalesce(F.regexp_extract(name, r"\[(\d+)\]", 1).try_cast("int"), F.lit(0))
+    value = (
+        F.when(raw.startswith('"'), F.btrim(raw, F.lit('"')))
+        .when(raw.rlike("^[0-9A-Fa-f]+$") & (F.length(raw) % 2 == 0), F.unhex(raw).cast("string"))
+        .otherwise(raw)
+    )
+    return F.struct(
+        *_index(F.substring_index(name, "[", 1)),
+        chunk.alias("chunk"),
+        rank.alias("rank"),
+        value.alias("val"),
+    )
+
+
+def _strict_parts(line: Column) -> Column:
+    """One entry per argument index and chunk, in their order, of whole tokens only."""
     tokens = F.filter(
         F.regexp_extract_all(line, F.lit(_STRICT_ARG), F.lit(1)),
         lambda t: t.rlike(r"^a\d+(\[\d+\])?="),
     )
-
-    def part(t: Column, i: Column) -> Column:
-        name = F.substring_index(t, "=", 1)
-        raw = F.substring(t, F.instr(t, "=") + 1, F.length(t))
-        chunk = F.coalesce(
-            F.regexp_extract(name, r"\[(\d+)\]", 1).try_cast("int"), F.lit(0)
-        )
-        value = (
-            F.when(raw.startswith('"'), F.btrim(raw, F.lit('"')))
-            .when(raw.rlike("^[0-9A-Fa-f]+$") & (F.length(raw) % 2 == 0), F.unhex(raw).cast("string"))
-            .otherwise(raw)
-        )
-        return F.struct(
-            *_index(F.substring_index(name, "[", 1)),
-            chunk.alias("chunk"),
-            i.alias("rank"),
-            value.alias("val"),
-        )
-
-    parts = F.sort_array(F.transform(tokens, part))
-    # Drop repeats of the same chunk, then join the chunks of one index.
-    unique = let(
-        parts,
+    # Drop repeats of the same chunk.
+    return let(
+        F.sort_array(F.transform(tokens, _part)),
         lambda s: F.filter(
             s,
             lambda e, i: (i == 0)
@@ -118,15 +116,55 @@ def _strict_entries(line: Column) -> Column:
             | (e["chunk"] != F.get(s, i - 1)["chunk"]),
         ),
     )
+
+
+def _strict_entries(line: Column) -> Column:
+    """One entry per argument index, chunks joined."""
     # The parts are sorted, so the chunks of one index are one slice.
     return let(
-        unique,
+        _strict_parts(line),
         lambda s: let(
             _starts(s), lambda at: F.transform(at, lambda b, j: _joined(s, at, b, j))
         ),
     )
 
 
+_CHUNK_ARG = r"""(?:^|\s)(a\d+\[\d+\]=(?:"[^"]*"|\S*))"""
+
+
+def argument_parts(line: Column | str, mode: str = "compat") -> Column:
+    """ARRAY of (width, digits, chunk, val): the argument pieces that one record holds.
+
+    A long argument comes in chunks, and a long command in several records;
+    ``join_parts`` puts the pieces of an event together.  Values may end within
+    a character.  NULL for lines that are no EXECVE.
+    """
+    line = col(line)
+    if mode == "strict":
+        parts = _strict_parts(line)
+    elif mode == "compat":
+        whole = F.transform(
+            _one_per_index(_compat_entries(line, False)),
+            lambda e: F.struct(e["width"].alias("width"), e["digits"].alias("digits"), F.lit(0).alias("chunk"), F.lit(0).alias("rank"), e["val"].alias("val")),
+        )
+        parts = F.concat(whole, F.transform(F.regexp_extract_all(line, F.lit(_CHUNK_ARG), F.lit(1)), _part))
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    pieces = F.transform(parts, lambda e: F.struct(*[e[n].alias(n) for n in ("width", "digits", "chunk", "val")]))
+    return F.when(is_execve(line), pieces)
+
+
+def join_parts(parts: Column) -> Column:
+    """Command of pieces that are unique by index and chunk: arguments in order, blanks between, none between chunks."""
+    text = lambda s: F.transform(
+        s,
+        lambda e, i: F.concat(
+            F.when((i == 0) | e["digits"].eqNullSafe(F.get(s, i - 1)["digits"]), F.lit("")).otherwise(F.lit(" ")), e["val"]
+        ),
+    )
+    return let(F.sort_array(parts), lambda s: F.make_valid_utf8(F.array_join(text(s), "")))
+
+
 def _starts(parts: Column) -> Column:
     """Positions where the argument index changes."""
     return F.array_compact(

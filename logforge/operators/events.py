@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logforge.functions import execve as X
-from logforge.functions.audit import event_result, field_value, id_value, technique_of_key
+from logforge.functions.audit import event_result, field_value, id_value, is_execve, technique_of_key
 
 # Serial first: sorts of these keys then compare distinct numbers, not host names.
 EVENT_KEY = ["serial", "epoch_ms", "host"]
@@ -21,18 +21,33 @@ def raw_fields(line: Column | str, names: tuple[str, ...]) -> Column:
     return F.struct(*[F.coalesce(field_value(line, n), F.lit("")).alias(n) for n in names])
 
 
-def event_aggregates(line: str = "msg", mode: str = "compat") -> list[Column]:
+def merged_commands(records: DataFrame, line: str = "msg", mode: str = "compat") -> DataFrame:
+    """host, epoch_ms, serial and the command over all EXECVE records of an event.
+
+    Pieces merge by event, argument and chunk first, copies of a record already
+    before the shuffle; then one row a piece is left to be put in order, so an
+    event is as large as its command, not as the number of its records.  Of
+    different values for one piece the least counts.
+    """
+    known = records.filter(F.col("epoch_ms").isNotNull() & is_execve(line))
+    parts = known.select(*EVENT_KEY, F.explode(X.argument_parts(line, mode)).alias("_p")).select(*EVENT_KEY, "_p.*")
+    pieces = parts.groupBy(*EVENT_KEY, "width", "digits", "chunk").agg(F.min("val").alias("val"))
+    joined = F.collect_list(F.struct("width", "digits", "chunk", "val"))
+    return pieces.groupBy(*EVENT_KEY).agg(joined.alias("_p")).select(*EVENT_KEY, X.join_parts(F.col("_p")).alias("cmd"))
+
+
+def event_aggregates(line: str = "msg", mode: str = "compat", cmd: Column | None = None) -> list[Column]:
     """Aggregates that turn the records of one event into one row.
 
     Every aggregate has a fixed size and merges before the shuffle, so an
     event with any number of records (or copies of them) never gathers in one
-    buffer.
+    buffer.  ``cmd`` gives the command, else it is that of one EXECVE record.
     """
     text, kind = F.col(line), F.col("record_type")
     first_path = (kind == "PATH") & text.rlike(r"\bitem=0\b")
     return [
-        F.count(F.lit(1)).alias("n_records"),
-        F.max(X.command(line, mode)).alias("cmd"),
+        F.count("record_type").alias("n_records"),
+        F.max(X.command(line, mode) if cmd is None else cmd).alias("cmd"),
         F.min(F.when(first_path, field_value(text, "name"))).alias("path"),
         F.max(F.when(kind == "SYSCALL", raw_fields(text, _CALL_IDS + _CALL_TEXTS))).alias("_call"),
         F.max(field_value(text, "key")).alias("key"),
@@ -53,14 +68,16 @@ def event_columns(df: DataFrame) -> DataFrame:
 
 
 def assemble_events(records: DataFrame, line: str = "msg", mode: str = "compat") -> DataFrame:
-    """One row per (host, epoch_ms, serial): ids of SYSCALL, command of EXECVE, first path.
+    """One row per (host, epoch_ms, serial): ids of SYSCALL, command of all EXECVE records, first path.
 
     ``failed`` is 1 or 0 where a record tells a result, else NULL.  All paths
     are rows of ``event_paths``.
     Records without an audit header belong to no event and are left out here.
     """
-    grouped = records.filter(F.col("epoch_ms").isNotNull()).groupBy(*EVENT_KEY)
-    return event_columns(grouped.agg(*event_aggregates(line, mode)))
+    rows = records.filter(F.col("epoch_ms").isNotNull()).select(*EVENT_KEY, F.coalesce("record_type", F.lit("")).alias("record_type"), F.col(line))
+    # Commands go through the same aggregation as rows of their own: no join, and hosts may be NULL.
+    rows = rows.unionByName(merged_commands(records, line, mode).withColumnRenamed("cmd", "_cmd"), allowMissingColumns=True)
+    return event_columns(rows.groupBy(*EVENT_KEY).agg(*event_aggregates(line, mode, F.col("_cmd"))))
 
 
 def event_paths(records: DataFrame, line: str = "msg") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from logforge.facts import UNWANTED_PROGRAMS
@@ -64,6 +65,38 @@ def events_per_second(
     )
 
 
+def sliding_counts(
+    df: DataFrame, width: str = "10 minutes", slide: str = "5 minutes", keys: tuple[str, ...] = ("host",), time: str = "ts"
+) -> DataFrame:
+    """Lines per overlapping time window and key; a line counts in every window it lies in.
+
+    Lines are counted per slide first, so only counts are repeated for the windows; ``width`` is a multiple of ``slide``.
+    """
+    part = df.groupBy(F.window(time, slide).alias("part"), *keys).agg(F.count(F.lit(1)).alias("n"))
+    at = part.select(F.col("part.start").alias("_at"), *keys, "n")
+    return at.groupBy(F.window("_at", width, slide).alias("window"), *keys).agg(F.sum("n").alias("n_lines"))
+
+
+def bursts(df: DataFrame, gap_s: int, keys: tuple[str, ...] = ("host",), us: str = "us") -> DataFrame:
+    """Bursts of lines per key: no two successive lines of one are further apart than ``gap_s`` seconds.
+
+    Gives (keys, first_us, last_us, n_lines).  Lines of one second merge before
+    the shuffle, so a key with a third of all lines costs as many rows as it has
+    seconds.  Lines without a time are left out.
+    """
+    if gap_s < 1:
+        raise ValueError("a gap of at least one second")
+    second = F.floor(F.col(us) / 1_000_000).alias("_s")
+    merged = df.filter(F.col(us).isNotNull()).groupBy(*keys, second)
+    merged = merged.agg(F.min(us).alias("first_us"), F.max(us).alias("last_us"), F.count(F.lit(1)).alias("n_lines"))
+    w = Window.partitionBy(*keys).orderBy("_s")
+    new = F.coalesce(F.col("first_us") - F.lag("last_us").over(w) > gap_s * 1_000_000, F.lit(True))
+    runs = merged.withColumn("_new", new.cast("int")).withColumn("_run", F.sum("_new").over(w))
+    return runs.groupBy(*keys, "_run").agg(
+        F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"), F.sum("n_lines").alias("n_lines")
+    ).drop("_run")
+
+
 def volume_reduction(df: DataFrame) -> DataFrame:
     """Lines per route and program with subtotals (NULL stands for "all")."""
     return df.rollup("route", "program").agg(

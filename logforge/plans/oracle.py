@@ -435,10 +435,20 @@ _add("technique_counts_strict", LINES, ARGS, sql=f"""SELECT technique, count(*)
   SELECT unnest({_strict_tags('cmd')}) AS technique FROM commands) GROUP BY technique""")
 _add("technique_daily", LINES, ARGS, TAGS, sql=f"""SELECT us // 86400000000 AS day, host, technique, count(*) AS n_lines
   FROM ({_EXPLODED}) GROUP BY 1, 2, 3""")
+_add("technique_users", LINES, ARGS, TAGS, sql=f"""SELECT technique, count(DISTINCT user_id) AS n_users, TRUE AS close
+  FROM ({_EXPLODED}) GROUP BY technique""")
+_add("technique_dictionary", LINES, ARGS, """dictionary AS (
+  SELECT DISTINCT 'user' || user_id AS pattern, 'T' || (user_id % 50) AS technique FROM events
+  UNION SELECT '/f' || event_id, 'F' || (event_id % 20) FROM events WHERE event_type = 'purchase'
+  UNION SELECT 'f' || (user_id % 10), 'S' FROM events)""", sql="""SELECT event_id,
+  array_to_string(list_sort(list(DISTINCT technique)), ',') AS techniques
+  FROM commands JOIN dictionary ON contains(cmd, pattern) GROUP BY event_id""")
 _add("document_techniques", sql=f"""SELECT technique, count(*) AS n_lines FROM (
   SELECT unnest({_tags('text')}) AS technique FROM documents) GROUP BY technique""")
 _add("top_commands", LINES, ARGS, sql="""SELECT cmd, count(*) AS n_lines FROM commands GROUP BY cmd
   ORDER BY n_lines DESC, cmd LIMIT 10""")
+_add("top_messages", LINES, sql="""SELECT msg, count(*) AS n_lines FROM lines GROUP BY msg
+  ORDER BY n_lines DESC, msg LIMIT 8""")
 _add("top_users", LINES, sql=f"""SELECT auid, count(*) AS n_lines FROM (SELECT {_value('auid')} AS auid FROM lines)
   WHERE auid IS NOT NULL GROUP BY auid ORDER BY n_lines DESC, auid LIMIT 3""")
 
@@ -547,6 +557,12 @@ _add("unwanted_count", LINES, sql=f"""SELECT count(DISTINCT p.program) AS unwant
 _add("volume_since", LINES, sql="SELECT count(*) AS n_lines FROM lines WHERE us >= 1705276800000000")
 _add("eps_by_minute", LINES, sql="""SELECT us // 60000000 * 60000000 AS start_us, host, count(*) AS n_lines
   FROM lines GROUP BY 1, 2""")
+_add("sliding_volume", LINES, sql="""SELECT (us // 300000000 - back) * 300000000 AS start_us, host, count(*) AS n_lines
+  FROM lines, range(2) r(back) GROUP BY 1, 2""")
+_add("host_bursts", LINES, """steps AS (SELECT host, us, CASE WHEN us - lag(us) OVER w <= 1800000000 THEN 0 ELSE 1 END AS new
+  FROM lines WINDOW w AS (PARTITION BY host ORDER BY us, event_id)),
+runs AS (SELECT host, us, sum(new) OVER (PARTITION BY host ORDER BY us ROWS UNBOUNDED PRECEDING) AS run FROM steps)""",
+  sql="""SELECT host, min(us) AS first_us, max(us) AS last_us, count(*) AS n_lines FROM runs GROUP BY host, run""")
 _add("volume_reduction", LINES, sql=f"""SELECT route, program, CAST(grouping(route, program) AS INTEGER) AS level,
   count(*) AS n_lines FROM (SELECT {_routed('debian')} AS route, program FROM lines) GROUP BY ROLLUP (route, program)""")
 _add("result_ratio", LINES, sql=f"""SELECT record_type, program, count(*) AS n_lines,
@@ -555,6 +571,10 @@ _add("result_ratio", LINES, sql=f"""SELECT record_type, program, count(*) AS n_l
   FROM (SELECT {_TYPE} AS record_type, program, {_RESULT} AS result FROM lines) GROUP BY record_type, program""")
 
 _add("event_assembly", LINES, ARGS, RECORDS, EVENTS, sql="SELECT * FROM assembled")
+# What the split commands were made from; an event has one EXECVE line.
+_add("split_commands", LINES, RECORDS, sql="""SELECT host, epoch_ms, serial, 8 * count(*) AS n_records,
+  'run -x ' || repeat('é' || min(event_id), 3) || ' ' || min(event_id) || ' end' AS cmd
+  FROM records WHERE record_type = 'EXECVE' GROUP BY host, epoch_ms, serial""")
 _add("event_enrichment", LINES, ARGS, NAMES, RECORDS, EVENTS, sql=f"""SELECT a.host, a.epoch_ms, a.serial, a.cmd,
   nullif(array_to_string({_tags('a.cmd')}, ','), '') AS mitre_techniques, p1.name AS auid_name, p2.name AS uid_name,
   p3.name AS gid_name FROM assembled a LEFT JOIN passwd p1 ON p1.host = a.host AND p1.id = a.auid_id
@@ -574,7 +594,8 @@ _add("undated_lines", LINES, sql="""SELECT host, count(*) AS n_lines FROM (
   SELECT CASE WHEN event_id % 10 = 3 THEN NULL ELSE ts END AS ts, host FROM lines) WHERE ts IS NULL GROUP BY host""")
 # The two halves of the odd lines, stated as the values they were made from.
 _add("odd_fields", sql="""SELECT event_id, '/srv/my files/' || event_type AS name, 'Web ' || user_id AS comm,
-  CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'k' || user_id END AS "key", '/opt/a b/' || event_id AS exe
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'k' || user_id END AS "key", '/opt/a b/' || event_id AS exe,
+  '/tmp/' || chr(65533) || chr(65533) || event_id AS cwd
   FROM events""")
 _add("odd_rendering", LINES, sql=r"""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '-' ELSE host END || ' ' ||
   CASE WHEN event_id % 5 = 0 THEN '-' ELSE program END || ': ' || msg AS tail FROM lines""")
@@ -639,9 +660,10 @@ ORACLE["stream_route_enrich"] = ORACLE["processed_lines"]
 _add("stream_eps", LINES, sql="""SELECT start_us, host, n_lines FROM (
   SELECT us // 300000000 * 300000000 AS start_us, host, count(*) AS n_lines FROM lines GROUP BY 1, 2)
   WHERE start_us + 300000000 <= (SELECT max(us) // 1000 * 1000 - 600000000 FROM lines)""")
-_PASSED = "epoch_ms <= (SELECT max(epoch_ms) - 600000 FROM records)"
-_add("stream_assembly", LINES, ARGS, RECORDS, EVENTS, sql=f"""SELECT host, epoch_ms, serial, n_records, cmd, path, auid_id,
-  "key", failed FROM assembled WHERE {_PASSED}""")
-_add("stream_dedup", LINES, RECORDS, sql=f"""SELECT event_id, program, md5(msg) AS msg_md5 FROM records
-  WHERE program = 'audit' AND {_PASSED.replace('FROM records', "FROM records WHERE program = 'audit'")}""")
+_add("stream_assembly", LINES, ARGS, RECORDS, EVENTS, sql="""SELECT host, epoch_ms, serial, n_records, cmd, path, auid_id,
+  "key", failed FROM assembled""")
+_add("stream_dedup", LINES, sql="SELECT event_id, program, md5(msg) AS msg_md5 FROM lines")
+_add("stream_late", LINES, RECORDS, sql="""SELECT 'assembled' AS output, count(*) AS n FROM records
+  WHERE epoch_ms IS NOT NULL AND NOT (event_id % 97 = 0 AND event_id < 400)
+  UNION ALL SELECT 'late ' || event_id, 1 FROM records WHERE epoch_ms IS NOT NULL AND event_id % 97 = 0 AND event_id < 400""")
 ORACLE["stream_repeat"] = ORACLE["repeat_reduction"]

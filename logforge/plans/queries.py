@@ -14,12 +14,15 @@ from logforge.functions import syslog as S
 from logforge.functions.registry import map_lines, register_functions
 from logforge.operators import enrich as E
 from logforge.operators import events as V
+from logforge.operators import heavy as H
 from logforge.operators import reduce as D
 from logforge.operators import reports as P
 from logforge.operators import routing as R
 from logforge.operators import rule_match as M
+from logforge.operators.dictionary import match_dictionary
 from logforge.plans.flow import process_lines
 from logforge.plans.fleet import accounts, derive_rule_lines, fleet_lines
+from logforge.scale import work_dir
 from logforge.sources import lookups, rules
 from logforge.sources.logs import drop_blank, parse_audit, parse_received, parse_syslog, union_sources
 from logforge.streaming import jobs
@@ -177,6 +180,35 @@ def technique_daily(spark, sf):
     return P.technique_counts(out, keys=("day", "host"))
 
 
+@query
+def technique_users(spark, sf):
+    """Distinct users per technique over all days, added up from stored daily sketches, against the exact number.
+
+    ``close`` tells that the estimate is within five percent (three standard errors).
+    """
+    tags = F.split(X.technique_list("cmd"), ",")
+    rows = E.rebuild_commands(_execve(spark, sf)).withColumn("day", F.expr(f"us div {DAY_US}"))
+    rows = rows.select("day", "user_id", F.explode(tags).alias("technique"))
+    path = work_dir(spark, "sketches")
+    H.distinct_sketches(rows, ["technique", "day"], "user_id").write.parquet(path)
+    about = H.add_up(spark.read.parquet(path), ["technique"])
+    exact = rows.groupBy("technique").agg(F.countDistinct("user_id").alias("n_users"))
+    close = F.abs(F.col("n") - F.col("n_users")) <= F.col("n_users") * 0.05
+    return exact.join(about, "technique").select("technique", "n_users", close.alias("close"))
+
+
+@query
+def technique_dictionary(spark, sf):
+    """A dictionary of thousands of patterns, taken from the events, over all commands."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    user = events.select(F.concat(F.lit("user"), "user_id").alias("pattern"), F.concat(F.lit("T"), F.col("user_id") % 50).alias("technique"))
+    file = events.filter("event_type = 'purchase'").select(F.concat(F.lit("/f"), "event_id").alias("pattern"), F.concat(F.lit("F"), F.col("event_id") % 20).alias("technique"))
+    short = events.select(F.concat(F.lit("f"), F.col("user_id") % 10).alias("pattern"), F.lit("S").alias("technique"))
+    commands = _execve(spark, sf).select("event_id", X.command("msg").alias("cmd"))
+    found = match_dictionary(commands, user.union(file).union(short), ["event_id"])
+    return found.groupBy("event_id").agg(F.array_join(F.array_sort(F.collect_set("technique")), ",").alias("techniques"))
+
+
 @query
 def document_techniques(spark, sf):
     """Technique dictionary over whole document texts."""
@@ -189,6 +221,12 @@ def top_commands(spark, sf):
     return P.top_k(_execve(spark, sf).select(X.command("msg").alias("cmd")), "cmd", 10)
 
 
+@query
+def top_messages(spark, sf):
+    """The most frequent messages by summaries of 256 counters a task and an exact pass."""
+    return H.heavy_hitters(fleet_lines(spark, sf), "msg", 8, 256).select(F.col("key").alias("msg"), F.col("n").alias("n_lines"))
+
+
 @query
 def top_users(spark, sf):
     """Login ids by number of audit records."""
@@ -509,6 +547,19 @@ def eps_by_minute(spark, sf):
     return out.select(F.unix_micros("window.start").alias("start_us"), "host", "n_lines")
 
 
+@query
+def sliding_volume(spark, sf):
+    """Lines per host in windows of ten minutes that begin every five."""
+    out = P.sliding_counts(_timed(fleet_lines(spark, sf, text=False)))
+    return out.select(F.unix_micros("window.start").alias("start_us"), "host", "n_lines")
+
+
+@query
+def host_bursts(spark, sf):
+    """Bursts of a host's lines, apart by more than half an hour."""
+    return P.bursts(fleet_lines(spark, sf, text=False), 1800)
+
+
 @query
 def volume_reduction(spark, sf):
     lines = R.route(fleet_lines(spark, sf, text=False))
@@ -528,6 +579,24 @@ def event_assembly(spark, sf):
     return V.assemble_events(_records(spark, sf))
 
 
+@query
+def split_commands(spark, sf):
+    """Commands whose arguments come in several records and chunks, each record delivered twice."""
+    lines = fleet_lines(spark, sf).filter(A.is_execve("msg")).select("event_id", "host", "msg")
+    head = F.regexp_extract("msg", r"^(type=EXECVE msg=\S+ )", 1)
+    long = F.repeat(F.concat(F.lit("é"), F.col("event_id").cast("string")), 3)
+    half = (F.length(F.hex(long.cast("binary"))) / 4).cast("int") * 2
+    piece = lambda k, text: F.concat(head, F.lit(f"a2[{k}]="), text)
+    parts = F.array(
+        F.concat(head, F.lit('argc=4 a0="run" a1="-x"')),
+        piece(0, F.substr(F.hex(long.cast("binary")), F.lit(1), half)),
+        piece(1, F.substr(F.hex(long.cast("binary")), half + 1)),
+        F.concat(head, F.lit(' a2_len=99 a3="'), F.col("event_id").cast("string"), F.lit('" a10="end"')),
+    )
+    rows = lines.select("host", "event_id", F.explode(F.concat(parts, F.reverse(parts))).alias("msg"))
+    return V.assemble_events(parse_audit(rows)).select(*V.EVENT_KEY, "n_records", "cmd")
+
+
 @query
 def event_enrichment(spark, sf):
     """Events with names from SYSCALL and techniques from EXECVE."""
@@ -564,16 +633,16 @@ def undated_lines(spark, sf):
 
 @query
 def odd_fields(spark, sf):
-    """Quoted blanks, hex texts, ``(null)`` and enriched tails, made from the events."""
+    """Quoted blanks, hex texts (also bytes that are no UTF-8), ``(null)`` and enriched tails, made from the events."""
     events = spark.read.parquet(f"{sf}/events.parquet")
     key = F.when(F.col("event_id") % 3 == 0, F.lit("(null)")).otherwise(F.concat(F.lit('"k'), "user_id", F.lit('"')))
     line = F.concat(
         F.lit('type=SYSCALL exe='), F.hex(F.concat(F.lit("/opt/a b/"), "event_id").cast("binary")),
         F.lit(' name="/srv/my files/'), "event_type", F.lit('" comm="Web '), "user_id", F.lit('" key='), key,
-        F.lit('\x1dARCH=x86_64 SYSCALL=execve UID="root"'),
+        F.lit(" cwd=2F746D702FFFC3"), F.hex(F.col("event_id").cast("string").cast("binary")), F.lit('\x1dARCH=x86_64 SYSCALL=execve UID="root"'),
     )
     lines = events.select("event_id", line.alias("msg"))
-    return lines.select("event_id", *[A.field_value("msg", n).alias(n) for n in ("name", "comm", "key", "exe")])
+    return lines.select("event_id", *[A.field_value("msg", n).alias(n) for n in ("name", "comm", "key", "exe", "cwd")])
 
 
 @query
@@ -775,6 +844,12 @@ def stream_assembly(spark, sf):
     return jobs.stream_assembly(spark, sf)
 
 
+@query
+def stream_late(spark, sf):
+    """Late lines have an output of their own."""
+    return jobs.stream_late(spark, sf)
+
+
 @query
 def stream_dedup(spark, sf):
     return jobs.stream_dedup(spark, sf)

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logforge.operators.events import assemble_events, dedup_sources
 from logforge.plans.fleet import accounts, derive_lines, fleet_lines
 from logforge.plans.flow import process_lines
 from logforge.scale import work_dir
-from logforge.sources.logs import parse_audit, union_sources
+from logforge.sources.logs import parse_audit
+from logforge.streaming.carry import DELAY_MS, Operator, carry_stream, close_stream, late_rows
 from logforge.streaming.run import (
     append_files,
-    assemble_stream,
-    dedup_stream,
     repeats_so_far,
     repeats_stream,
     windowed_counts,
@@ -52,29 +52,61 @@ def stream_eps(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _records(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_audit(stream_lines(spark, sf))
+# Files of a delivery; a micro-batch takes one delivery.
+_FILES = 8
+
+
+def delivered(spark: SparkSession, sf: str, turns: int = 4, held_back: Column | None = None) -> DataFrame:
+    """The lines as a stream of several micro-batches: events are written in ``turns``, one after the other.
+
+    Rows of ``held_back`` come in the last turn whatever their time.
+    """
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()  # two numbers
+    base = work_dir(spark, "deliveries")
+    width = max(1, ((high or 0) - (low or 0) + turns) // turns)
+    turn = F.least(((F.col("event_id") - F.lit(low or 0)) / width).cast("int"), F.lit(turns - 1))
+    if held_back is not None:
+        turn = F.when(held_back, F.lit(turns - 1)).otherwise(turn)
+    for k in range(turns):
+        events.filter(turn == k).repartition(_FILES, "event_id").write.parquet(f"{base}/{k}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", _FILES)
+    return derive_lines(stream.parquet(f"{base}/*"))
+
+
+def _carried(spark: SparkSession, rows: DataFrame, finish: Operator, name: str, delay_ms: int = DELAY_MS) -> tuple[DataFrame, DataFrame]:
+    """Finished and late rows of a closed run."""
+    base = work_dir(spark, name)
+    carry_stream(rows, finish, f"{base}/out", f"{base}/checkpoint", delay_ms).awaitTermination()
+    return close_stream(spark, finish, f"{base}/out"), late_rows(spark, f"{base}/out")
 
 
 def stream_assembly(spark: SparkSession, sf: str) -> DataFrame:
-    events = assemble_stream(_records(spark, sf)).select(
-        "host", "epoch_ms", "serial", "n_records", "cmd", "path", "auid_id", "key", "failed"
-    )
-    return _finished(spark, events, "assembly")
+    events, _ = _carried(spark, parse_audit(delivered(spark, sf)), assemble_events, "assembly")
+    return events.select("host", "epoch_ms", "serial", "n_records", "cmd", "path", "auid_id", "key", "failed")
+
+
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Early lines that come with the last delivery: each is in the side output, none in an event."""
+    late = (F.col("event_id") % 97 == 0) & (F.col("event_id") < F.lit(400))
+    records = parse_audit(delivered(spark, sf, held_back=late))
+    events, late = _carried(spark, records, assemble_events, "late", 1000)
+    counted = events.agg(F.sum("n_records").alias("n")).select(F.lit("assembled").alias("output"), "n")
+    side = late.groupBy(F.concat(F.lit("late "), F.col("event_id").cast("string")).alias("output")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.unionByName(side)
 
 
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    audit = _records(spark, sf).filter(F.col("program") == "audit")
-    direct = audit.withColumn("program", F.lit("audit-direct"))
-    once = dedup_stream(union_sources(direct, audit))
-    return _finished(
-        spark, once.select("event_id", "program", F.md5("msg").alias("msg_md5")), "dedup"
-    )
+    """Every line once, where audit lines come from two sources."""
+    lines = parse_audit(delivered(spark, sf)).withColumn("_copies", F.when(F.col("program") == "audit", F.array(F.lit("audit"), F.lit("audit-direct"))).otherwise(F.array("program")))
+    both = lines.withColumn("program", F.explode("_copies")).drop("_copies")
+    once, _ = _carried(spark, both, dedup_sources, "dedup")
+    return once.select("event_id", "program", F.md5("msg").alias("msg_md5"))
 
 
 def stream_repeat(spark: SparkSession, sf: str) -> DataFrame:
     base = work_dir(spark, "repeat")
-    lines = stream_lines(spark, sf).select("host", "program", "us", "event_id", "msg")
+    lines = delivered(spark, sf).select("host", "program", "us", "event_id", "msg")
     query = repeats_stream(
         lines, ["host", "program"], ["us", "event_id"], f"{base}/runs", f"{base}/checkpoint"
     )
