@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from logforge.scale import work_dir
 
-from .common import BROADCAST_ROWS, checked, components, land
+from .common import BROADCAST_ROWS, checked, components, land, tidy
 from .jaccard_join import sets
 from .words import mix
 
@@ -164,7 +164,7 @@ def _peeled(open_: DataFrame, held: DataFrame, percent: int, base: str) -> DataF
         across = each.groupBy("h").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("h")
         across = land(across, f"{base}/across-{k}")
         able = each.join(checked(across), "h", "left_semi").groupBy("node", "n").agg(F.collect_list("h").alias("h"))  # of one document
-        able = able.where(100 * F.size("h") >= percent * F.col("n")).select("node", "h").mapInArrow(_segments, "node long, c long, " + ", ".join(f"{p} long" for p in _PARTS))
+        able = able.where(100 * F.size("h") >= percent * F.col("n")).select("node", "h").mapInArrow(tidy(_segments), "node long, c long, " + ", ".join(f"{p} long" for p in _PARTS))
         able = land(able, f"{base}/able-{k}")
         left = open_.drop("c", *_PARTS).join(checked(able, BROADCAST_ROWS // 8), "node")
         mixed = left.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("key")
@@ -202,7 +202,7 @@ def near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, bands
     spark = docs.sparkSession
     base = work_dir(spark, "circulant")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = land(texts.mapInArrow(_sketch(size, bands, width, False), SKETCH + ", keys array<long>"), f"{base}/rows")
+    rows = land(texts.mapInArrow(tidy(_sketch(size, bands, width, False)), SKETCH + ", keys array<long>"), f"{base}/rows")
     named = rows.where(F.col("doc_id").isNotNull())
     full = named.where(F.col("n") > 0)
 
@@ -223,7 +223,7 @@ def near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, bands
     placed = land(banded.join(checked(heads), "key").distinct(), f"{base}/buckets")
     sizes = land(placed.select("node", "n").distinct(), f"{base}/sizes")
     wanted = land(placed.select("doc_id").distinct(), f"{base}/wanted")
-    held = texts.join(checked(wanted), "doc_id", "left_semi").mapInArrow(_sketch(size, bands, width, True), SKETCH + ", hashes array<long>")
+    held = texts.join(checked(wanted), "doc_id", "left_semi").mapInArrow(tidy(_sketch(size, bands, width, True)), SKETCH + ", hashes array<long>")
     held = _nodes(held, several, again).where("doc_id = first").select("doc_id", "node", "n", "hashes")
     # Repeated rows of one id hold one set several times.
     held = held.join(checked(again), "doc_id", "left_anti").union(held.join(checked(again), "doc_id", "left_semi").dropDuplicates(["node"]))

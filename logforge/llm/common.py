@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +21,29 @@ from .words import mix
 BROADCAST_ROWS = 2_000_000
 
 
+# Rows of an Arrow batch: with texts of some kilobytes a few megabytes, in the executor and in the worker.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run``, after which a worker gives freed memory back: workers that wait for a next task would keep it from the others."""
+
+    @functools.wraps(run)
+    def tidied(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def land(df: DataFrame, path: str) -> DataFrame:
     """Write below the shared folder and read again: later steps do not go back over lost work."""
     df.write.parquet(path)
@@ -65,7 +92,12 @@ def components(edges: DataFrame, base: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once a session; they need not have it installed."""
+    """Give the executors this package, once a session; they need not have it installed.
+
+    Arrow batches get ``BATCH_ROWS`` rows unless the session says otherwise.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_logforge_shipped", False):
         return

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from logforge.scale import work_dir
 
+from .common import tidy
 from .words import buffers, chunks, shingles, starts, tokenize
 
 GRAM = 3
@@ -173,7 +174,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, least: f
         items = Items([r["item_id"] for r in rows], [r["text"] for r in rows], gram)
         if not len(items.gram_hash):
             continue
-        pairs = texts.mapInArrow(_align(items, gram, least, schema), schema)
+        pairs = texts.mapInArrow(tidy(_align(items, gram, least, schema)), schema)
         # Written: a later block, or another use, does not align again.
         pairs.write.parquet(f"{base}/{n}")
         parts.append(spark.read.schema(schema).parquet(f"{base}/{n}"))

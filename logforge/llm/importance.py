@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from logforge.scale import work_dir
 
-from .common import land
+from .common import land, tidy
 from .words import LOWER, chunks, tokenize
 
 BUCKETS = 10_000
@@ -172,7 +172,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def bucket_counts(texts: DataFrame) -> np.ndarray:
     """How many n-grams of ``texts`` fall in each bucket; ``BUCKETS`` sums come to the driver, whatever the input."""
-    rows = texts.select("text").mapInArrow(_count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    rows = texts.select("text").mapInArrow(tidy(_count), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(BUCKETS, np.int64)
     for r in rows:
         out[r.bucket] = r.n
@@ -218,7 +218,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_wor
     base = work_dir(spark, "importance")
     gains = bucket_gains(bucket_counts(docs), bucket_counts(target))
     kind = dict(docs.dtypes)["doc_id"]
-    weighed = docs.select("doc_id", "text").mapInArrow(_weigh(gains), f"doc_id {kind}, n_words long, n_features long, weight long")
+    weighed = docs.select("doc_id", "text").mapInArrow(tidy(_weigh(gains)), f"doc_id {kind}, n_words long, n_features long, weight long")
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     h = F.conv(F.substring(F.sha2(key.cast("binary"), 256), 1, 8), 16, 10).cast("long")
     noise = F.floor(F.lit(-float(SCALE)) * F.log(-F.log((h + F.lit(0.5)) / F.lit(4294967296.0))))

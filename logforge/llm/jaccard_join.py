@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 
 from logforge.scale import work_dir
 
-from .common import block_id, checked, components, land
+from .common import block_id, checked, components, land, tidy
 from .words import chunks, mix, shingles, starts, tokenize
 
 SIZE = 5
 PERCENT = 75
 # Documents and text bytes that are packed together.
-BLOCK_ROWS, BLOCK_BYTES = 50_000, 16 << 20
+BLOCK_ROWS, BLOCK_BYTES = 50_000, 8 << 20
 # Similarities are kept in parts of this.
 WHOLE = 100_000_000
 # Documents of a shingle's largest group that a document outside it is compared with before groups are.
@@ -198,9 +198,9 @@ def shared_counts(docs: DataFrame, size: int, percent: int, whole: bool = False)
     With ``whole``, of all shingles of sets that were written.
     """
     buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.mapInArrow(_pack(buckets, size, percent, whole), PACKED)
-    met = packed.repartition("bucket").mapInArrow(_meet, PACKED)
-    return met.repartition("block").mapInArrow(_total, "doc_id long, n long, shared long")
+    packed = docs.mapInArrow(tidy(_pack(buckets, size, percent, whole)), PACKED)
+    met = packed.repartition("bucket").mapInArrow(tidy(_meet), PACKED)
+    return met.repartition("block").mapInArrow(tidy(_total), "doc_id long, n long, shared long")
 
 
 def _sketch(size: int, whole: bool):
@@ -260,7 +260,7 @@ def _add_slots(key: tuple, table: pa.Table) -> pa.Table:
 
 def count_table(packed: DataFrame) -> np.ndarray:
     """How many documents hold shingles of each slot: over the real count of each of its shingles, by chance."""
-    counted = packed.select("hashes").mapInArrow(_count_slots, "part int, t binary").groupBy("part").applyInArrow(_add_slots, "part int, t binary")
+    counted = packed.select("hashes").mapInArrow(tidy(_count_slots), "part int, t binary").groupBy("part").applyInArrow(_add_slots, "part int, t binary")
     table = np.zeros(SLOTS, np.uint32)
     for part, t in counted.collect():
         table[part * PART : (part + 1) * PART] = np.frombuffer(t, np.uint32)
@@ -367,7 +367,7 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     some = land(named.join(checked(left), "doc_id", "left_semi"), f"{base}/texts")
 
     # Equal sets: the smallest id stands for all.
-    marks = land(some.mapInArrow(_sketch(size, False), SKETCH), f"{base}/marks")
+    marks = land(some.mapInArrow(tidy(_sketch(size, False)), SKETCH), f"{base}/marks")
     many = marks.distinct().groupBy("doc_id").agg((F.count("*") > 1).alias("many")).where("many")
     many = land(many, f"{base}/many")
     marks = _nodes(marks, many)
@@ -377,7 +377,7 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     equal = marks.join(checked(several), ["n", "a", "b"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     equal = equal.union(marks.where("node <> doc_id").select(F.col("node").alias("a"), F.col("doc_id").alias("b")))
     stand = land(first.select(F.col("first").alias("node")).distinct(), f"{base}/stand")
-    packed = _nodes(some.mapInArrow(_sketch(size, True), SKETCH + ", hashes array<long>").where("n > 0"), many)
+    packed = _nodes(some.mapInArrow(tidy(_sketch(size, True)), SKETCH + ", hashes array<long>").where("n > 0"), many)
     packed = land(packed.join(checked(stand), "node", "left_semi").select(F.col("node").alias("doc_id"), "n", "hashes"), f"{base}/sets")
 
     # No two sets have more in common than what is not the own of either.
@@ -386,8 +386,9 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     packed = packed.join(checked(most), "doc_id")
 
     table = spark.sparkContext.broadcast(count_table(packed))
-    prefix = packed.select("doc_id", "n", "hashes", "most").mapInArrow(_prefixes(table, percent), "h long, doc_id long, n long, most long, ell long, place long, typical double")
+    prefix = packed.select("doc_id", "n", "hashes", "most").mapInArrow(tidy(_prefixes(table, percent)), "h long, doc_id long, n long, most long, ell long, place long, typical double")
     prefix = land(prefix, f"{base}/prefix")
+    table.destroy()
     heads = prefix.groupBy("h").agg(F.max(F.struct("typical", -F.col("doc_id"), "n", "most")).alias("head"), F.count("*").alias("docs")).where("docs > 1")
     heads = land(heads.select("h", (-F.col("head.col2")).alias("a"), F.col("head.n").alias("m"), F.col("head.most").alias("most_of_m")), f"{base}/heads")
     prefix = land(prefix.drop("typical").join(heads, "h"), f"{base}/common")
@@ -463,5 +464,5 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     found = land(found.join(ends, "id"), f"{base}/found")
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(checked(found), F.col("doc_id") == F.col("id"), "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    nameless = texts.where(F.col("doc_id").isNull()).mapInArrow(_sketch(size, False), SKETCH)
+    nameless = texts.where(F.col("doc_id").isNull()).mapInArrow(tidy(_sketch(size, False)), SKETCH)
     return out.union(nameless.select("doc_id", "n", F.lit(0).cast("long"), F.col("doc_id").alias("component_id")))

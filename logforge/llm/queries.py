@@ -51,7 +51,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", F.col("n_links").alias("found_links"))
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

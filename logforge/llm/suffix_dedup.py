@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from logforge.scale import work_dir
 
-from .common import checked, land
+from .common import checked, land, tidy
 from .words import chunks, mix, prefix_hash, span_hash
 
 LENGTH = 400
@@ -330,7 +330,7 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     copies = rows.groupBy("id").agg((F.count("*") > 1).alias("several"))
 
     long = full.where(F.octet_length("text") >= LENGTH).select("id", "text")
-    anchors = land(long.mapInArrow(_anchors, "id binary, places array<int>, follows array<long>"), f"{base}/anchors")
+    anchors = land(long.mapInArrow(tidy(_anchors), "id binary, places array<int>, follows array<long>"), f"{base}/anchors")
     twice = anchors.select(F.explode("follows").alias("follow")).groupBy("follow").agg(F.count("*").alias("n")).where("n > 1").select("follow")
     twice = land(twice, f"{base}/twice")
     each = anchors.select("id", F.explode(F.arrays_zip("places", "follows")).alias("_")).select("id", F.col("_.places").alias("place"), F.col("_.follows").alias("follow"))
@@ -341,11 +341,11 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     texts = land(texts.join(marked, "id"), f"{base}/texts")
 
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = texts.mapInArrow(_shards(buckets), PACKED).repartition("bucket")
-    spans = land(packed.mapInArrow(_merge, "id binary, start int, end int"), f"{base}/spans")
+    packed = texts.mapInArrow(tidy(_shards(buckets)), PACKED).repartition("bucket")
+    spans = land(packed.mapInArrow(tidy(_merge), "id binary, start int, end int"), f"{base}/spans")
     spans = spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     cut = texts.select("id", "text").join(spans, "id")
-    cut = land(cut.mapInArrow(_cut, "id binary, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"), f"{base}/cut")
+    cut = land(cut.mapInArrow(tidy(_cut), "id binary, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"), f"{base}/cut")
     out = rows.join(cut, "id", "left")
     return out.select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),

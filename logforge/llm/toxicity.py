@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 
 from logforge.scale import work_dir
 
+from .common import tidy
+
 WORD = re.compile(r"\w+")
 QUOTES = "\"'`“”„«»‘’"
 # Words that report what somebody else says, or speak about a word.
@@ -227,7 +229,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[lis
             found = [(t, y) for text, y in zip(batch.column("text"), batch.column("_toxic").to_pylist(), strict=True) for t in {t for t, d, _ in finder.hits(text.as_py())[0] if d}]
             yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.int32()), pa.array([y for _, y in found], pa.int32())], names=["term", "y"])
 
-    seen = texts.mapInArrow(misspelled, "term int, y int").groupBy("term").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")).collect()
+    seen = texts.mapInArrow(tidy(misspelled), "term int, y int").groupBy("term").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")).collect()
     mixed = {r["term"] for r in seen if (r["t"] + 0.5) / toxic < 3 * (r["c"] + 0.5) / max(clean, 1) and r["c"] >= 2}
     allowed = [0 if k in mixed else edits(t) for k, t in enumerate(terms)]
 
@@ -239,7 +241,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[lis
             yield pa.RecordBatch.from_arrays([y, pa.array(x, pa.list_(pa.float64()))], names=["y", "x"])
 
     # At most ``rows`` short rows of numbers.
-    found = texts.mapInArrow(measure, "y double, x array<double>").collect()
+    found = texts.mapInArrow(tidy(measure), "y double, x array<double>").collect()
     found.sort()
     return terms, allowed, weight, fit_logistic(np.array([r["x"] for r in found]).reshape(-1, N_FEATURES), np.array([r["y"] for r in found]))
 
@@ -274,7 +276,7 @@ def score_texts(
                 columns += [pa.array(p), pa.array((p >= least).astype(np.int32)), pa.array(matches, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
-    return picked.mapInArrow(score, schema)
+    return picked.mapInArrow(tidy(score), schema)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), least: float = 0.3, rows: int = FIT_ROWS, carry_text: bool = False) -> DataFrame:
