@@ -1,8 +1,8 @@
 """Audit rules applied to normalized events.
 
 Rules and events meet in one equi join on probe keys: a system call rule is
-probed by ``s:arch:call`` (or ``s:arch:*``), a file watch by ``p:path``, a
-directory watch by ``d:path``; an event probes its call, its path and every
+probed by ``s:arch:call`` (or ``s:arch:*``), a watch by ``d:path`` (it holds for a
+directory and all below it, however the path is written); an event probes its call, its path and every
 folder above it.  No rule is compared with an event it shares no key with.
 """
 
@@ -45,7 +45,7 @@ def _hex_number(text: Column) -> Column:
     return F.conv(text, 16, 10).try_cast("bigint")
 
 
-_RAW = ("arch", "syscall", "success", "exit", "a0", "a1", "a2", "a3", "subj", "key") + _IDS
+_RAW = ("arch", "syscall", "success", "exit", "a0", "a1", "a2", "a3", "subj", "key", "exe") + _IDS
 
 
 def _syscall_attributes() -> dict[str, Column]:
@@ -63,6 +63,7 @@ def _syscall_attributes() -> dict[str, Column]:
         **{n: _hex_number(F.col(n)) for n in ("a0", "a1", "a2", "a3")},
         **{n: id_value(F.col(n)) for n in _IDS},
         "subj_type": F.get(F.split("subj", ":"), F.lit(2)),
+        "exe": F.when(F.col("exe") != "", F.col("exe")),
         "stamped_key": F.when(F.col("key") != "", F.col("key")),
     }
 
@@ -154,6 +155,7 @@ def _typed_fields(fields: Column) -> Column:
         number = (
             F.when(f["name"] == "perm", _access_mask(v).cast("bigint"))
             .when(f["name"] == "exit", F.coalesce(v.try_cast("bigint"), errno.cast("bigint")))
+            .when(f["name"].isin(*_IDS) & (v == "root"), F.lit(0).cast("bigint"))
             .when(v.startswith("0x"), _hex_number(F.substring(v, 3, 40)))
             .otherwise(v.try_cast("bigint"))
         )
@@ -182,7 +184,7 @@ def compile_rules(rules: DataFrame) -> DataFrame:
             lambda a: F.transform(calls, lambda c: F.concat(F.lit("s:"), a, F.lit(":"), c)),
         )
     )
-    watch_probe = F.concat(F.when(F.col("is_dir"), "d:").otherwise("p:"), F.col("path"))
+    watch_probe = F.concat(F.when(F.col("path").startswith("/"), "d:").otherwise("p:"), F.col("path"))
     watch_test = F.array(
         F.struct(
             F.lit("perm").alias("name"), F.lit("=").alias("op"), F.col("perm").alias("text"),
@@ -201,15 +203,16 @@ def compile_rules(rules: DataFrame) -> DataFrame:
 def unsupported_rules(rules: DataFrame) -> DataFrame:
     """(ruleset, idx, tests) of the rules with tests that cannot be decided here and so never hold.
 
-    These are fields that events do not carry, ids given by name, comparisons of
-    one field with another, and lists other than exit, exclude and user.  Look at
-    them before a disposition is trusted.
+    These are fields that events do not carry, ids given by a name other than
+    root, and lists other than exit, exclude and user.  Look at them before a
+    disposition is trusted.
     """
-    known = ("arch", "key", "perm", "dir", "path", "subj_type", "msgtype", *_NUMERIC)
+    known = ("arch", "key", "perm", "dir", "path", "exe", "subj_type", "msgtype", *_NUMERIC)
 
     def undecided(f: Column) -> Column:
         v = f["value"]
         number = v.try_cast("bigint").isNotNull() | v.rlike("^0x[0-9A-Fa-f]+$") | (v == "unset")
+        number = number | (f["name"].isin(*_IDS) & v.isin("root", *_IDS))
         named = f["name"].isin("exit") & F.coalesce(_lookup(F.ltrim(v, F.lit("-")), ERRNO).isNotNull(), F.lit(False))
         return ~f["name"].isin(*known) | (f["name"].isin(*_NUMERIC) & ~number & ~named)
 
@@ -236,9 +239,14 @@ def _compare(op: Column, a: Column, b: Column) -> Column:
 def _holds(test: Column) -> Column:
     """Does one field test hold for the event row?"""
     name, op = test["name"], test["op"]
-    number = F.when(name == _NUMERIC[0], F.col(_NUMERIC[0]))
-    for n in _NUMERIC[1:]:
-        number = number.when(name == n, F.col(n))
+
+    def value_of(field: Column, names: tuple[str, ...]) -> Column:
+        out = F.when(field == names[0], F.col(names[0]))
+        for n in names[1:]:
+            out = out.when(field == n, F.col(n))
+        return out
+
+    number = value_of(name, _NUMERIC)
     under = (F.col("path") == test["text"]) | F.startswith(
         F.col("path"), F.concat(test["text"], F.lit("/"))
     )
@@ -247,6 +255,9 @@ def _holds(test: Column) -> Column:
         .when(name == "dir", under)
         .when(name == "path", _compare(op, F.col("path"), test["text"]))
         .when(name == "subj_type", _compare(op, F.col("subj_type"), test["text"]))
+        .when(name == "exe", _compare(op, F.col("exe"), test["text"]))
+        # One field against another (``-C``).
+        .when(name.isin(*_IDS) & test["text"].isin(*_IDS), _compare(op, number, value_of(test["text"], _IDS)))
         .when(test["unset"], F.when(op == "=", number.isNull()).otherwise(number.isNotNull()))
         .when(op == "&", number.bitwiseAND(test["number"]) != 0)
         .when(op == "&=", number.bitwiseAND(test["number"]) == test["number"])
@@ -309,3 +320,64 @@ def ruleset_whatif(events: DataFrame, rules: DataFrame) -> DataFrame:
         .groupBy("ruleset", "key")
         .agg(F.count(F.lit(1)).alias("n_events"))
     )
+
+
+def _implied(a: Column, b: Column) -> Column:
+    """Does test ``a`` hold wherever test ``b`` of the same field does?  False where that cannot be told."""
+    op, n, m = a["op"], a["number"], b["number"]
+    plain = ~a["text"].isin(*_IDS) & ~b["text"].isin(*_IDS)
+    numbers = plain & ~a["unset"] & ~b["unset"] & a["name"].isin(*_NUMERIC)
+    at_least = (b["op"].isin("=", ">=") & (m >= n)) | ((b["op"] == ">") & (m >= n - 1))
+    at_most = (b["op"].isin("=", "<=") & (m <= n)) | ((b["op"] == "<") & (m <= n + 1))
+    differs = (
+        ((b["op"] == "=") & (m != n)) | ((b["op"] == ">") & (m >= n)) | ((b["op"] == ">=") & (m > n))
+        | ((b["op"] == "<") & (m <= n)) | ((b["op"] == "<=") & (m < n))
+    )
+    within = (b["text"] == a["text"]) | F.startswith(b["text"], F.concat(F.when(a["text"] == "/", F.lit("")).otherwise(a["text"]), F.lit("/")))
+    return F.coalesce(
+        F.when(
+            (a["name"] == b["name"]) & (op == b["op"]) & (a["text"] == b["text"]) & n.eqNullSafe(m) & (a["unset"] == b["unset"]),
+            F.lit(True),
+        )
+        .when(a["name"] == "dir", b["name"].isin("dir", "path") & (b["op"] == "=") & within)
+        .when(a["name"] != b["name"], F.lit(False))
+        .when(a["name"] == "perm", m.bitwiseAND(n) == m)
+        # Any number is an id that is set.
+        .when(a["unset"] & (op == "!="), plain & ~b["unset"] & m.isNotNull() & b["op"].isin("=", "!=", ">=", "<=", ">", "<"))
+        .when(numbers & (op == ">="), at_least)
+        .when(numbers & (op == ">"), (b["op"].isin("=", ">=") & (m > n)) | ((b["op"] == ">") & (m >= n)))
+        .when(numbers & (op == "<="), at_most)
+        .when(numbers & (op == "<"), (b["op"].isin("=", "<=") & (m < n)) | ((b["op"] == "<") & (m <= n)))
+        .when(numbers & (op == "!="), differs),
+        F.lit(False),
+    )
+
+
+def _wider_probes() -> Column:
+    """The probe, and those of rules that see everything a rule of this probe sees."""
+    probe = F.col("probe")
+    call = F.array(probe, F.regexp_replace(probe, "^(s:[^:]*:).*$", "$1*"))
+    folders = F.transform(_folders(F.substring(probe, 3, 1_000_000)), lambda p: F.concat(F.lit("d:"), p))
+    return F.array_distinct(F.when(probe.startswith("s:"), call).when(probe.startswith("d:"), folders).otherwise(F.array(probe)))
+
+
+def covered_rules(rules: DataFrame) -> DataFrame:
+    """(ruleset, idx, covered_by): rules that can never decide an event, and the first rule that covers each.
+
+    A rule covers a later one of its set if it is probed wherever the other is
+    and each of its tests follows from a test of the other: an equal one, a
+    wider interval, set or folder.  The pairs come from an equi join of probes
+    with wider probes; no rule is compared with one that it shares none with.
+    Rules that hold never (``unsupported_rules``) cover nothing.
+    """
+    never = unsupported_rules(rules).select("ruleset", "idx")
+    compiled = compile_rules(rules).select("ruleset", "idx", "probe", "tests").distinct()
+    n = compiled.groupBy("ruleset", "idx").agg(F.count(F.lit(1)).alias("n_probes"))
+    narrow = compiled.join(n, ["ruleset", "idx"]).withColumn("wide", F.explode(_wider_probes()))
+    narrow = narrow.select("ruleset", F.col("wide").alias("probe"), "idx", F.col("probe").alias("own"), "n_probes", F.col("tests").alias("theirs"))
+    able = compiled.join(never, ["ruleset", "idx"], "left_anti")
+    wide = able.select("ruleset", "probe", F.col("idx").alias("covered_by"), "tests")
+    pairs = narrow.join(wide, ["ruleset", "probe"]).filter(F.col("covered_by") < F.col("idx"))
+    follows = F.forall("tests", lambda a: F.exists("theirs", lambda b: _implied(a, b)))
+    whole = pairs.filter(follows).groupBy("ruleset", "idx", "covered_by", "n_probes").agg(F.countDistinct("own").alias("n"))
+    return whole.filter("n = n_probes").groupBy("ruleset", "idx").agg(F.min("covered_by").alias("covered_by"))

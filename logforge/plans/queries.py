@@ -758,6 +758,12 @@ def ruleset_diff(spark, sf):
     return out.select("signature", "n_a", "n_b", "side")
 
 
+@query
+def dead_rules(spark, sf):
+    """Rules of the hosts' listings that an earlier rule covers, so that they never decide."""
+    return M.covered_rules(_rule_rows(spark, sf))
+
+
 @query
 def rules_strict(spark, sf):
     out = rules.strict_rules(_rule_rows(spark, sf).filter(F.col("kind") != "control"))

@@ -1,4 +1,7 @@
+import itertools
+import random
 import re
+from collections import defaultdict
 
 import pytest
 
@@ -90,7 +93,7 @@ def brute(rule, rec):
         return False
     under = lambda d: touched is not None and (touched == d or touched.startswith(d + "/"))
     if kind == "watch":
-        return bool(set(perm) & set(access)) and (touched == path or (is_dir and under(path)))
+        return bool(set(perm) & set(access)) and under(path)
     if calls and "all" not in calls and CALLS[number] not in calls:
         return False
     attrs = dict(re.findall(r"(\w+)=(\S+)", text))
@@ -111,6 +114,7 @@ def brute(rule, rec):
             ok = "a0" in attrs and int(attrs["a0"], 16) == int(value, 0)
         else:
             have = attrs.get(name)
+            value = "0" if value == "root" else value
             unset = name.endswith("uid") and have in (None, "4294967295", "-1")
             if value in ("4294967295", "-1", "unset") and name.endswith("uid"):
                 ok = unset if op == "=" else not unset
@@ -159,3 +163,47 @@ def test_first_match_decides(spark, events):
 def test_excludes(spark):
     df = parse_audit(spark.createDataFrame([("type=AVC",), ("type=PATH",), ("type=CWD",)], "msg STRING"))
     assert [r["record_type"] for r in M.apply_excludes(df, S.builtin_rules(spark, "filters")).collect()] == ["PATH"]
+
+
+def test_watch_of_a_directory_without_a_slash(spark):
+    rows = [("h", "type=SYSCALL msg=audit(1.000:1): arch=c000003e syscall=90 success=yes"), ("h", 'type=PATH msg=audit(1.000:1): item=0 name="/etc/chef/a.rb"')]
+    events = M.normalize_events(parse_audit(spark.createDataFrame(rows, "host STRING, msg STRING")))
+    lines = [("r", 0, "-w /etc/che -p a -k no"), ("r", 1, "-w /etc/chef -p a -k yes"), ("r", 2, "-w /etc/chef/a.rb/ -p a -k own")]
+    own = S.parse_rules(spark.createDataFrame(lines, "ruleset STRING, idx INT, value STRING"))
+    assert sorted(r["key"] for r in M.match_rules(events, own).collect()) == ["own", "yes"]
+
+
+def test_fields_against_fields_names_and_programs(spark):
+    records = [(1, 'uid=1000 euid=0 auid=1000 exe="/usr/bin/su"'), (2, 'uid=0 euid=0 auid=4294967295 exe="/bin/ls"'), (3, 'uid=5 euid=5 auid=7 exe="/bin/ls"')]
+    rows = [("h", f"type=SYSCALL msg=audit(1.000:{k}): arch=c000003e syscall=59 success=yes {text}") for k, text in records]
+    events = M.normalize_events(parse_audit(spark.createDataFrame(rows, "host STRING, msg STRING")))
+    lines = ["-C uid!=euid", "-C uid=auid", "-F uid=root", "-F euid!=root", "-F exe=/bin/ls", "-F exe!=/bin/ls"]
+    rules = S.parse_rules(spark.createDataFrame([("r", k, f"-a always,exit -F arch=b64 -S execve {t}") for k, t in enumerate(lines)], "ruleset STRING, idx INT, value STRING"))
+    assert M.unsupported_rules(rules).collect() == []
+    got = {k: sorted(r["serial"] for r in M.match_rules(events, rules).filter(f"idx = {k}").collect()) for k in range(6)}
+    assert got == {0: [1], 1: [1], 2: [2], 3: [3], 4: [2, 3], 5: [1]}
+
+
+def test_covered_rules(spark):
+    """No event that a covered rule matches escapes the rule before it, over all combinations of small values."""
+    rng = random.Random(6)
+    tests = ["-F auid>=5", "-F auid>4", "-F auid<=6", "-F auid!=unset", "-F auid=5", "-F auid!=5", "-F auid=unset", "-F success=0", "-F uid=root", "-C uid!=auid", "-F dir=/a", "-F dir=/a/b", "-F path=/a/b", "-F perm=wa", "-F perm=a", "-F uid<3", "-F uid>=0"]
+    lines = [f"-a always,exit -F arch=b64 {rng.choice(('-S open', '-S chmod', '-S open,chmod', ''))} " + " ".join(rng.sample(tests, rng.randrange(0, 3))) for _ in range(70)]
+    lines += [f"-w {p} -p {x}" for p in ("/a", "/a/", "/a/b", "/ab") for x in ("a", "wa", "r")]
+    rng.shuffle(lines)
+    rules = S.parse_rules(spark.createDataFrame([("r", k, x) for k, x in enumerate(lines)], "ruleset STRING, idx INT, value STRING"))
+    found = {(r["idx"], r["covered_by"]) for r in M.covered_rules(rules).collect()}
+    rows, serial = [], 0
+    for call, ok, uid, auid, path in itertools.product((2, 90), ("yes", "no"), (0, 3, 5), (4, 5, 6, 7, 4294967295), (None, "/a", "/a/b", "/a/b/c", "/ab")):
+        serial += 1
+        rows.append(("h", f"type=SYSCALL msg=audit(1.000:{serial}): arch=c000003e syscall={call} success={ok} a1=1 uid={uid} auid={auid}"))
+        if path:
+            rows.append(("h", f'type=PATH msg=audit(1.000:{serial}): item=0 name="{path}"'))
+    events = M.normalize_events(parse_audit(spark.createDataFrame(rows, "host STRING, msg STRING")))
+    hits = defaultdict(set)
+    for r in M.match_rules(events, rules).select("idx", "serial").collect():
+        hits[r["idx"]].add(r["serial"])
+    assert all(hits[b] <= hits[a] and a < b for b, a in found) and len(found) > 25
+    # A rule that matches the same or less than an earlier one with the same tests is found.
+    same = {b for b, a in itertools.product(range(len(lines)), repeat=2) if a < b and lines[a] == lines[b]}
+    assert same <= {b for b, _ in found}
