@@ -547,6 +547,17 @@ _add("render_octets", LINES, sql="SELECT event_id, strlen(line) || ' ' || line A
 _add("dual_format", LINES, FIELDED, sql=f"""SELECT event_id, 'leef' AS format, md5({_leef()}) AS out_md5 FROM fielded
   UNION ALL SELECT event_id, 'traditional', md5({_TRADITIONAL}) FROM fielded""")
 
+_add("direct_tail", LINES, RECORDS, f"""tail AS (SELECT host, epoch_ms, make_timestamp(epoch_ms * 1000) AS ts, 'audit-direct' AS program,
+  'node=' || host || ' ' || msg AS msg FROM records WHERE program = 'audit'),
+fielded AS (SELECT *, {_fields()}, {_FALLBACK} AS cmd FROM tail)""", sql=f"""SELECT host, epoch_ms AS ts_ms, 'leef' AS format,
+  md5({_leef()}) AS out_md5 FROM fielded UNION ALL SELECT host, epoch_ms, 'traditional', md5({_TRADITIONAL}) FROM fielded""")
+_add("syslog_files", LINES, sql="""SELECT CASE WHEN program = 'kernel' THEN 'messages' ELSE 'syslog' END AS source, program,
+  facility, severity, count(*) AS n_lines, min(us // 1000) AS first_ms FROM lines GROUP BY 1, 2, 3, 4""")
+_add("audit_dispatch", LINES, RECORDS, sql="SELECT event_id, 19 AS facility, 'local3' AS facility_text FROM records WHERE epoch_ms IS NOT NULL")
+_add("lookup_file", LINES, sql="""SELECT program, event_id, CASE WHEN program IN ('cron', 'nginx', 'postfix') THEN 'IGNORE'
+  ELSE 'PASS' END AS action FROM lines""")
+_add("yearless_stamps", sql="""SELECT event_id, strftime(DATE '2021-03-01' + CAST(event_id % 900 AS INTEGER), '%Y-%m-%d') || ' 10:00:00' AS ts
+  FROM events""")
 _add("received_report", LINES, sql=f"SELECT count(*) AS received FROM lines WHERE {_routed('universal')} = 'FORWARD'")
 _UNWANTED = ", ".join(_q(p) for p in UNWANTED_PROGRAMS)
 _add("unwanted_programs", LINES, sql=f"""SELECT p.program, count(l.event_id) AS n_lines, count(l.event_id) > 0 AS seen

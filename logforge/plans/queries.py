@@ -22,9 +22,21 @@ from logforge.operators import rule_match as M
 from logforge.operators.dictionary import match_dictionary
 from logforge.plans.flow import process_lines
 from logforge.plans.fleet import accounts, derive_rule_lines, fleet_lines
-from logforge.scale import work_dir
+from logforge.scale import fits, work_dir
 from logforge.sources import lookups, rules
-from logforge.sources.logs import drop_blank, parse_audit, parse_received, parse_syslog, union_sources
+from logforge.sources.logs import (
+    drop_blank,
+    parse_audit,
+    parse_received,
+    parse_syslog,
+    read_audit,
+    read_messages,
+    read_syslog,
+    union_sources,
+    with_audit_dispatch,
+)
+from logforge.sources.sinks import write_lines
+from logforge.sources.years import with_years
 from logforge.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -517,6 +529,62 @@ def dual_format(spark, sf):
     return E.dual_format(out).select("event_id", "format", F.md5("line_out").alias("out_md5"))
 
 
+def _landed(spark, df, column, name):
+    """Folder with the lines as text files."""
+    path = work_dir(spark, name)
+    write_lines(df, path, column)
+    return path
+
+
+@query
+def direct_tail(spark, sf):
+    """Audit log files tailed past syslog, fields extracted, commands put together, sent in two formats."""
+    lines = fleet_lines(spark, sf).filter("program = 'audit'").withColumn("msg", F.concat(F.lit("node="), "host", F.lit(" "), "msg"))
+    tailed = read_audit(spark, _landed(spark, lines, "msg", "tail"))
+    out = E.dual_format(E.forwarded_fields(tailed))
+    return out.select("host", F.unix_millis("ts").alias("ts_ms"), "format", F.md5("line_out").alias("out_md5"))
+
+
+@query
+def syslog_files(spark, sf):
+    """Landed syslog files and message files as two sources, counted per program."""
+    lines = fleet_lines(spark, sf)
+    syslog = read_syslog(spark, _landed(spark, lines.filter("program <> 'kernel'"), "line", "syslog")).withColumn("source", F.lit("syslog"))
+    messages = read_messages(spark, _landed(spark, lines.filter("program = 'kernel'"), "line", "messages"))
+    both = union_sources(syslog, messages)
+    return both.groupBy("source", "program", "facility", "severity").agg(F.count(F.lit(1)).alias("n_lines"), F.min(F.unix_millis("ts")).alias("first_ms"))
+
+
+@query
+def audit_dispatch(spark, sf):
+    """Audit records that enter syslog under facility local3."""
+    records = _records(spark, sf).filter("epoch_ms IS NOT NULL").drop("facility")
+    return with_audit_dispatch(records).select("event_id", "facility", "facility_text")
+
+
+@query
+def lookup_file(spark, sf):
+    """A lookup file of the programs that the first events' lines come from, applied to all lines."""
+    lines = fleet_lines(spark, sf, text=False).select("event_id", "program")
+    quiet = lines.filter("program IN ('cron', 'nginx', 'postfix')").select(F.struct(F.col("program").alias("index"), F.lit("IGNORE").alias("value")).alias("e"))
+    # One small object: at most three programs.
+    table = quiet.agg(F.array_sort(F.collect_set("e")).alias("table")).select(F.lit(1).alias("version"), F.lit("PASS").alias("nomatch"), F.lit("string").alias("type"), "table")
+    path = work_dir(spark, "lookup")
+    table.coalesce(1).write.json(path)
+    return R.apply_lookup(lines, lookups.read_lookup(spark, path))
+
+
+@query
+def yearless_stamps(spark, sf):
+    """Stamps without a year, a day apart, in files that run over several new years."""
+    lines = fleet_lines(spark, sf, text=False).select("event_id", "host", F.col("event_id").alias("at"))
+    when = F.date_add(F.lit("2021-03-01").cast("date"), (F.col("event_id") % 900).cast("int"))
+    made = lines.withColumn("file", F.expr("event_id div 900")).withColumn("stamp", F.concat(F.date_format(when, "MMM dd"), F.lit(" 10:00:00")))
+    last = made.groupBy("file").agg(F.max("at").alias("_last")).withColumn("written", F.timestamp_seconds((F.unix_date(F.lit("2021-03-01").cast("date")) + F.col("_last") % 900) * 86400 + 40 * 3600))
+    dated = with_years(made.join(F.broadcast(last.drop("_last")) if fits(last) else last.drop("_last"), "file"), ["file"], "at", "stamp", "written")
+    return dated.select("event_id", F.substring(N.utc_text("ts"), 1, 19).alias("ts"))
+
+
 # --- reports -----------------------------------------------------------------
 
 

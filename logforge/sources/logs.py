@@ -23,20 +23,46 @@ from logforge.functions.syslog import (
 from logforge.functions.text import capture, strip
 
 
+# Severity of a tailed file's lines.
+_NOTICE = 5
+
+
 def _lines(spark: SparkSession, path: str, stream: bool) -> DataFrame:
     reader = spark.readStream if stream else spark.read
     return reader.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
 
 
 def read_audit(
-    spark: SparkSession, path: str, tag: str = "audit-direct", stream: bool = False
+    spark: SparkSession, path: str, tag: str = "audit-direct", stream: bool = False, host: str | None = None
 ) -> DataFrame:
-    """Audit log files, one record per row, stamped with tag and facility local3."""
-    return with_audit_dispatch(
+    """Audit log files, one record per row, stamped with tag, facility local3 and severity notice.
+
+    The time is that of the record's header; the host is the one named by
+    ``node=``, else that of ``host`` (a text, or NULL).
+    """
+    tailed = (
         _lines(spark, path, stream)
         .withColumn("program", F.lit(tag))
         .withColumnRenamed("value", "msg")
     )
+    return with_header_columns(with_audit_dispatch(tailed), host)
+
+
+def with_header_columns(df: DataFrame, host: str | None = None, line: str = "msg") -> DataFrame:
+    """Add ts, host and severity of raw audit records, as a syslog header would tell them."""
+    head = F.explode(F.array(audit_header(line))).alias("_head")
+    node = F.nullif(F.regexp_extract(F.col(line), r"^node=(\S+)", 1), F.lit(""))
+    return (
+        df.select("*", head)
+        .withColumns(
+            {
+                "ts": F.timestamp_millis(header_fields(F.col("_head"))["epoch_ms"]),
+                "host": F.coalesce(node, F.lit(host).cast("string")),
+                "severity": F.lit(_NOTICE),
+            }
+        )
+        .drop("_head")
+    )
 
 
 def with_audit_dispatch(df: DataFrame, facility: str = "local3") -> DataFrame:
