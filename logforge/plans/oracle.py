@@ -683,3 +683,4 @@ _add("stream_late", LINES, RECORDS, sql="""SELECT 'assembled' AS output, count(*
   WHERE epoch_ms IS NOT NULL AND NOT (event_id % 97 = 0 AND event_id < 400)
   UNION ALL SELECT 'late ' || event_id, 1 FROM records WHERE epoch_ms IS NOT NULL AND event_id % 97 = 0 AND event_id < 400""")
 ORACLE["stream_repeat"] = ORACLE["repeat_reduction"]
+ORACLE["stream_bursts"] = ORACLE["host_bursts"]

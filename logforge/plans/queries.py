@@ -929,6 +929,12 @@ def stream_dedup(spark, sf):
     return jobs.stream_dedup(spark, sf)
 
 
+@query
+def stream_bursts(spark, sf):
+    """The bursts of hosts as a stream with timers; same rows as the batch report."""
+    return jobs.stream_bursts(spark, sf)
+
+
 @query
 def stream_repeat(spark, sf):
     """Runs collapsed across micro-batches."""

@@ -10,6 +10,7 @@ from logforge.plans.fleet import accounts, derive_lines, fleet_lines
 from logforge.plans.flow import process_lines
 from logforge.scale import work_dir
 from logforge.sources.logs import parse_audit
+from logforge.streaming.activity import activity_stream, open_activity, timed_state
 from logforge.streaming.carry import DELAY_MS, Operator, carry_stream, close_stream, late_rows
 from logforge.streaming.run import (
     append_files,
@@ -112,3 +113,14 @@ def stream_repeat(spark: SparkSession, sf: str) -> DataFrame:
     )
     query.awaitTermination()
     return repeats_so_far(spark, f"{base}/runs")
+
+
+def stream_bursts(spark: SparkSession, sf: str) -> DataFrame:
+    """Bursts of hosts over several micro-batches, closed by timers; those open at the end are read from the state."""
+    base = work_dir(spark, "bursts")
+    lines = delivered(spark, sf).select("host", "us")
+    with timed_state(spark):
+        df = activity_stream(lines, ["host"], 1800)
+        append_files(df, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+        closed = spark.read.schema(df.schema).parquet(f"{base}/out")
+        return closed.unionByName(open_activity(spark, f"{base}/checkpoint", ["host"]))
