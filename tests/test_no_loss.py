@@ -84,10 +84,12 @@ def test_undecided_rules_are_named(spark):
     lines = [
         "-w /etc/passwd -p wa -k id", "-a always,exit -F arch=b64 -S execve -F auid>=1000 -F auid!=unset -k a", "-a always,exit -S all -C uid!=euid -k b",
         "-a never,exit -S all -F uid=chrony", "-a always,exit -S open -F exit=-EACCES -k c", "-a always,exit -S open -F exe=/bin/x -F a0&0x40", "-a always,task -F uid=0", "-a never,user -F uid=0",
+        "-a always,exit -S open -F devmajor=3 -C uid=gid", "-a always,exit -S open -F uid=root",
     ]
     rules = parse_rules(spark.createDataFrame([("r", i, v) for i, v in enumerate(lines)], "ruleset STRING, idx INT, value STRING"))
     got = {r.idx: r.tests for r in unsupported_rules(rules).collect()}
-    assert got == {2: ["uid!=euid"], 3: ["uid=chrony"], 5: ["exe=/bin/x"], 6: ["list=task"]}
+    # Fields against fields, programs and root are decided.
+    assert got == {3: ["uid=chrony"], 6: ["list=task"], 8: ["devmajor=3"]}
 
 
 def test_large_cap(spark):
