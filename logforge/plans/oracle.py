@@ -684,3 +684,6 @@ _add("stream_late", LINES, RECORDS, sql="""SELECT 'assembled' AS output, count(*
   UNION ALL SELECT 'late ' || event_id, 1 FROM records WHERE epoch_ms IS NOT NULL AND event_id % 97 = 0 AND event_id < 400""")
 ORACLE["stream_repeat"] = ORACLE["repeat_reduction"]
 ORACLE["stream_bursts"] = ORACLE["host_bursts"]
+_add("stream_gap", LINES, sql=f"""SELECT host, us, digest, sent, received, sent - received AS missing FROM (
+  SELECT host, us, sha256(msg) AS digest, count(*) AS sent, count(*) FILTER (WHERE {_routed('debian')} = 'FORWARD'
+  AND NOT (event_id % 97 = 0 AND event_id < 400)) AS received FROM lines GROUP BY host, us, msg) WHERE sent > received""")

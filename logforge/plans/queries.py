@@ -939,3 +939,9 @@ def stream_bursts(spark, sf):
 def stream_repeat(spark, sf):
     """Runs collapsed across micro-batches."""
     return jobs.stream_repeat(spark, sf)
+
+
+@query
+def stream_gap(spark, sf):
+    """Sent against received as an outer join of two streams, closed by its state."""
+    return jobs.stream_gap(spark, sf)

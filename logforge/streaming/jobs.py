@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logforge.operators.events import assemble_events, dedup_sources
+from logforge.operators.routing import forwarded
 from logforge.plans.fleet import accounts, derive_lines, fleet_lines
 from logforge.plans.flow import process_lines
 from logforge.scale import work_dir
 from logforge.sources.logs import parse_audit
 from logforge.streaming.activity import activity_stream, open_activity, timed_state
 from logforge.streaming.carry import DELAY_MS, Operator, carry_stream, close_stream, late_rows
+from logforge.streaming.gap import closed_gap, gap_stream, newest_mark, open_gap
 from logforge.streaming.run import (
     append_files,
     repeats_so_far,
@@ -124,3 +126,17 @@ def stream_bursts(spark: SparkSession, sf: str) -> DataFrame:
         append_files(df, f"{base}/out", f"{base}/checkpoint").awaitTermination()
         closed = spark.read.schema(df.schema).parquet(f"{base}/out")
         return closed.unionByName(open_activity(spark, f"{base}/checkpoint", ["host"]))
+
+
+def stream_gap(spark: SparkSession, sf: str) -> DataFrame:
+    """What the debian profile does not deliver, and early lines that arrive with the last delivery."""
+    late = (F.col("event_id") % 97 == 0) & (F.col("event_id") < F.lit(400))
+    base = work_dir(spark, "gap")
+    sent = delivered(spark, sf).withColumn("ts", F.timestamp_micros("us"))
+    received = forwarded(delivered(spark, sf, held_back=late), "debian").withColumn("ts", F.timestamp_micros("us"))
+    with newest_mark(spark):
+        df = gap_stream(sent, received)
+        append_files(df, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    emitted = spark.read.schema(df.schema).parquet(f"{base}/out")
+    gap = closed_gap(emitted, open_gap(spark, f"{base}/checkpoint"))
+    return gap.select("host", F.unix_micros("ts").alias("us"), "digest", "sent", "received", "missing")
