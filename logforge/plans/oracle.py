@@ -670,6 +670,14 @@ _add("never_rules", LINES, RECORDS, RULE_EVENTS, sql="""SELECT host, epoch_ms, s
   AND o.success = 1 AND starts_with(o.path, '/etc/'))""")
 _add("exclude_rules", LINES, RECORDS, sql="""SELECT event_id, record_type FROM records
   WHERE record_type NOT IN ('PATH', 'USER_CMD')""")
+_add("record_verdicts", LINES, RECORDS, RULE_EVENTS, sql=rf"""SELECT event_id, "list", idx, idx IS NULL AND NOT coalesce(called, FALSE) OR coalesce(idx = 5, FALSE) AS kept
+  FROM (SELECT event_id, called, CASE WHEN idx < 2 THEN 'exclude' WHEN idx < 4 THEN 'user' WHEN idx < 6 THEN 'exit' END AS "list", idx FROM (
+    SELECT event_id, e.host IS NOT NULL AND record_type IN ('SYSCALL', 'PATH', 'EXECVE') AS called, CAST(CASE WHEN record_type = 'PATH' THEN 0
+      WHEN record_type = 'EXECVE' AND {_value('auid')} = '1002' THEN 1 WHEN record_type = 'USER_CMD' AND {_value('auid')} = '1003' THEN 2
+      WHEN starts_with(record_type, 'USER') AND record_type <> 'USER_CMD' AND {_value('auid')} = '1004' THEN 3
+      WHEN record_type IN ('SYSCALL', 'EXECVE') AND e.etc THEN 4 WHEN record_type IN ('SYSCALL', 'EXECVE') AND e.done THEN 5 END AS INTEGER) AS idx
+    FROM records r LEFT JOIN (SELECT host, epoch_ms, serial, coalesce(bool_or(success = 1 AND starts_with(path, '/etc/')), FALSE) AS etc, bool_or(success = 1) AS done
+      FROM rule_events GROUP BY ALL) e USING (host, epoch_ms, serial)))""")
 
 ORACLE["stream_route_enrich"] = ORACLE["processed_lines"]
 # Windows and events the watermark (ten minutes behind the newest time) has passed.

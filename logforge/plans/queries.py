@@ -21,6 +21,7 @@ from logforge.operators import routing as R
 from logforge.operators import rule_match as M
 from logforge.operators.dictionary import match_dictionary
 from logforge.plans.flow import process_lines
+from logforge.operators.verdicts import record_verdicts as record_verdicts_of
 from logforge.plans.fleet import accounts, derive_rule_lines, fleet_lines
 from logforge.scale import fits, work_dir
 from logforge.sources import lookups, rules
@@ -896,6 +897,17 @@ def exclude_rules(spark, sf):
     return M.apply_excludes(_records(spark, sf), own).select("event_id", "record_type")
 
 
+@query
+def record_verdicts(spark, sf):
+    """Every record judged by the exclude, user and exit lists of one set."""
+    lines = [
+        "-a always,exclude -F msgtype=PATH", "-a never,exclude -F msgtype=EXECVE -F auid=1002", "-a never,user -F msgtype=USER_CMD -F auid=1003",
+        "-a never,user -F auid=1004 -F msgtype!=USER_CMD", "-a never,exit -F arch=b64 -S execve -F dir=/etc -F success=1", "-a exit,always -F arch=b64 -S execve -F success=1 -k done",
+    ]
+    own = rules.parse_rules(spark.createDataFrame([("local", i, v) for i, v in enumerate(lines)], "ruleset STRING, idx INT, value STRING"))
+    return record_verdicts_of(_records(spark, sf), own).select("event_id", "list", "idx", "kept")
+
+
 # --- streams -----------------------------------------------------------------
 
 
