@@ -6,6 +6,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from logforge.streaming.activity import timed_state
 from logforge.streaming.gap import closed_gap, gap_stream, newest_mark, open_gap
 from logforge.streaming.run import append_files
 
@@ -58,9 +59,10 @@ def test_gap_of_a_stream(spark, tmp_path):
     assert emitted and left and len(emitted) + len(left) >= len(got)
 
 
-def test_receiver_without_lines(spark, tmp_path):
+def test_receiver_without_lines_state_on_disk(spark, tmp_path):
     sent = [[("h", 100, "a"), ("h", 100, "a")], [("h", 5000, "b")]]
-    got, emitted, left = run(spark, str(tmp_path), sent, [[]], "60 seconds")
+    with timed_state(spark):
+        got, emitted, left = run(spark, str(tmp_path), sent, [[]], "60 seconds")
     assert got == want([r for rows in sent for r in rows], [])
     # The outage is told while it lasts: only the newest line still has time.
     assert [r[1] for r in emitted] == [100] and [r[1] for r in left] == [5000]
