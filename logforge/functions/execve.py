@@ -276,8 +276,13 @@ def technique_text(
             for t in sorted(dictionary)
         ]
     )
-    hit = lambda e: F.exists(e["patterns"], lambda p: F.contains(cmd, p))
-    return F.concat_ws(",", F.transform(F.filter(entries, hit), lambda e: e["id"]))
+
+    def tags(text: Column) -> Column:
+        hit = lambda e: F.exists(e["patterns"], lambda p: F.contains(text, p))
+        return F.concat_ws(",", F.transform(F.filter(entries, hit), lambda e: e["id"]))
+
+    # Bound first: a command given as an expression would be rebuilt for every pattern.
+    return let(cmd, tags)
 
 
 def split_techniques(text: Column | str) -> Column:

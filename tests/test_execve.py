@@ -102,6 +102,14 @@ def test_strict_techniques_are_whole_words(spark, texts):
     assert got == ["T1003", "T1059", "T1071", None, None]
 
 
+def test_techniques_evaluate_the_command_once(spark):
+    """One random text per row: techniques of equal patterns agree only if it is not drawn again for each."""
+    drawn = F.substring(F.uuid(), 1, 1)
+    half = ("0", "1", "2", "3", "4", "5", "6", "7")
+    tags = spark.range(200).select(X.technique_list(drawn, {"A": half, "B": half}))
+    assert {r[0] for r in tags.collect()} == {"A,B", None}
+
+
 def test_fallback_command(spark, texts):
     df = texts(
         'type=EXECVE a0="ls" a1="" a2="x" a10="z" a3=6161', 'type=EXECVE a1="only"', "type=PATH a0=\"x\"",
