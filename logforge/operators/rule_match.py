@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from logforge.facts import ARCH_CODES, ERRNO, SYSCALLS_B32, SYSCALLS_B64, UNSET_ID
 from logforge.functions.audit import field_value, id_value
 from logforge.operators.events import EVENT_KEY, first_match, raw_fields
-from logforge.scale import left_lookup
+from logforge.scale import left_lookup, work_dir
 
 _IDS = ("auid", "uid", "gid", "euid")
 _NUMERIC = _IDS + ("exit", "success", "a0", "a1", "a2", "a3")
@@ -169,8 +169,8 @@ def _typed_fields(fields: Column) -> Column:
     return F.transform(F.filter(fields, lambda f: f["name"] != "arch"), typed)
 
 
-def compile_rules(rules: DataFrame) -> DataFrame:
-    """Rules of the exit list, one row per probe key, with typed field tests."""
+def _probes_and_tests() -> tuple[Column, Column]:
+    """Probe keys and typed field tests of a rule of the exit list."""
     arch = F.get(F.filter("fields", lambda f: f["name"] == "arch"), F.lit(0))["value"]
     arches = F.when(arch.isNull(), F.array(F.lit("b64"), F.lit("b32"), F.lit(""))).otherwise(
         F.array(arch)
@@ -193,20 +193,24 @@ def compile_rules(rules: DataFrame) -> DataFrame:
         )
     )
     watch = F.col("kind") == "watch"
-    return rules.filter((F.col("list") == "exit") & F.col("kind").isin("watch", "syscall")).select(
-        "ruleset", "idx", "kind", "action", "key", "technique",
-        F.when(watch, watch_test).otherwise(_typed_fields(F.col("fields"))).alias("tests"),
-        F.explode(F.when(watch, F.array(watch_probe)).otherwise(call_probes)).alias("probe"),
-    )
+    tests = F.when(watch, watch_test).otherwise(_typed_fields(F.col("fields")))
+    return F.when(watch, F.array(watch_probe)).otherwise(call_probes), tests
 
 
-def unsupported_rules(rules: DataFrame) -> DataFrame:
-    """(ruleset, idx, tests) of the rules with tests that cannot be decided here and so never hold.
+def _on_exit_list() -> Column:
+    return (F.col("list") == "exit") & F.col("kind").isin("watch", "syscall")
 
-    These are fields that events do not carry, ids given by a name other than
-    root, and lists other than exit, exclude and user.  Look at them before a
-    disposition is trusted.
-    """
+
+def compile_rules(rules: DataFrame) -> DataFrame:
+    """Rules of the exit list, one row per probe key, with typed field tests."""
+    probes, tests = _probes_and_tests()
+    return rules.filter(_on_exit_list()).select(
+        "ruleset", "idx", "kind", "action", "key", "technique", tests.alias("tests"), F.explode(probes).alias("probe")
+    )
+
+
+def _unsupported_tests() -> Column:
+    """The tests of a rule that cannot be decided here, its list among them."""
     known = ("arch", "key", "perm", "dir", "path", "exe", "subj_type", "msgtype", *_NUMERIC)
 
     def undecided(f: Column) -> Column:
@@ -219,9 +223,17 @@ def unsupported_rules(rules: DataFrame) -> DataFrame:
     tests = F.transform(F.filter("fields", undecided), lambda f: F.concat(f["name"], f["op"], f["value"]))
     other = F.when(~F.col("list").isin("exit", "exclude", "user"), F.array(F.concat(F.lit("list="), F.col("list"))))
     none = F.array().cast("array<string>")
-    out = rules.filter(F.col("kind").isin("watch", "syscall")).select(
-        "ruleset", "idx", F.concat(F.coalesce(tests, none), F.coalesce(other, none)).alias("tests")
-    )
+    return F.concat(F.coalesce(tests, none), F.coalesce(other, none))
+
+
+def unsupported_rules(rules: DataFrame) -> DataFrame:
+    """(ruleset, idx, tests) of the rules with tests that cannot be decided here and so never hold.
+
+    These are fields that events do not carry, ids given by a name other than
+    root, and lists other than exit, exclude and user.  Look at them before a
+    disposition is trusted.
+    """
+    out = rules.filter(F.col("kind").isin("watch", "syscall")).select("ruleset", "idx", _unsupported_tests().alias("tests"))
     return out.filter(F.size("tests") > 0)
 
 
@@ -361,23 +373,78 @@ def _wider_probes() -> Column:
     return F.array_distinct(F.when(probe.startswith("s:"), call).when(probe.startswith("d:"), folders).otherwise(F.array(probe)))
 
 
+def _asked() -> Column:
+    """Keys of a rule's ``tests`` that a rule it covers must offer; intervals and sets of access ask for none."""
+
+    def key(t: Column) -> Column:
+        loose = (t["name"] == "perm") | (t["name"].isin(*_NUMERIC) & t["op"].isin("!=", ">=", ">", "<=", "<"))
+        own = F.concat(F.lit("e:"), t["name"], t["op"], t["text"])
+        return F.when(t["name"] == "dir", F.concat(F.lit("d:"), t["text"])).when(~loose, own)
+
+    return F.array_distinct(F.array_compact(F.transform("tests", key)))
+
+
+def _offered() -> Column:
+    """Every key that a rule which covers one with these ``tests`` can ask for; ``*`` if it asks for none."""
+
+    def keys(t: Column) -> Column:
+        parts = F.split(t["text"], "/")
+        above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+        above = F.when(t["name"].isin("dir", "path") & (t["op"] == "="), F.concat(above, F.array(F.when(t["text"].startswith("/"), F.lit("/")))))
+        folders = F.transform(F.coalesce(above, F.array(F.when(t["name"] == "dir", t["text"]))), lambda d: F.concat(F.lit("d:"), d))
+        return F.concat(folders, F.array(F.concat(F.lit("e:"), t["name"], t["op"], t["text"])))
+
+    return F.array_distinct(F.array_append(F.array_compact(F.flatten(F.transform("tests", keys))), F.lit("*")))
+
+
 def covered_rules(rules: DataFrame) -> DataFrame:
     """(ruleset, idx, covered_by): rules that can never decide an event, and the first rule that covers each.
 
     A rule covers a later one of its set if it is probed wherever the other is
     and each of its tests follows from a test of the other: an equal one, a
-    wider interval, set or folder.  The pairs come from an equi join of probes
-    with wider probes; no rule is compared with one that it shares none with.
-    Rules that hold never (``unsupported_rules``) cover nothing.
+    wider interval, set or folder.  Rules that hold never
+    (``unsupported_rules``) cover nothing.
+
+    Rules of a set with the same probes and tests are one class: what covers one
+    covers all, and the first of a class stands for it.  Classes meet in an equi
+    join of a probe and the key of the test that fewest classes ask for; only
+    classes whose tests are all intervals or sets of access, or that have no
+    test, meet every class of their probe.
     """
-    never = unsupported_rules(rules).select("ruleset", "idx")
-    compiled = compile_rules(rules).select("ruleset", "idx", "probe", "tests").distinct()
-    n = compiled.groupBy("ruleset", "idx").agg(F.count(F.lit(1)).alias("n_probes"))
-    narrow = compiled.join(n, ["ruleset", "idx"]).withColumn("wide", F.explode(_wider_probes()))
-    narrow = narrow.select("ruleset", F.col("wide").alias("probe"), "idx", F.col("probe").alias("own"), "n_probes", F.col("tests").alias("theirs"))
-    able = compiled.join(never, ["ruleset", "idx"], "left_anti")
-    wide = able.select("ruleset", "probe", F.col("idx").alias("covered_by"), "tests")
-    pairs = narrow.join(wide, ["ruleset", "probe"]).filter(F.col("covered_by") < F.col("idx"))
+    base = work_dir(rules.sparkSession, "rules")
+    probes, tests = _probes_and_tests()
+    own = rules.filter(F.col("kind").isin("watch", "syscall") & F.col("ruleset").isNotNull() & F.col("idx").isNotNull()).select(
+        "ruleset", "idx", (F.size(_unsupported_tests()) == 0).alias("able"),
+        F.when(_on_exit_list(), F.struct(F.sort_array(F.array_distinct(probes)).alias("probes"), tests.alias("tests"))).alias("_form"),
+    )
+    # Parsed once; what is shuffled for each rule is a digest of its form.
+    own.withColumn("form", F.when(F.size("_form.probes") > 0, F.md5(F.to_json("_form")))).write.parquet(f"{base}/own")
+    own = rules.sparkSession.read.parquet(f"{base}/own")
+    forms = own.filter(F.col("form").isNotNull()).groupBy("form").agg(F.first("_form").alias("_form")).select("form", "_form.*")
+    # Rows of one number are one rule.
+    rule = own.groupBy("ruleset", "idx").agg(F.min("able").alias("able"), F.sort_array(F.collect_set("form")).alias("forms")).filter(F.size("forms") > 0)
+    rule = rule.select("ruleset", "idx", F.concat_ws(",", F.col("able").cast("string"), "forms").alias("class"))
+    classes = rule.groupBy("ruleset", "class").agg(F.min("idx").alias("first"))
+    parts = classes.select("ruleset", "class", "first", F.explode(F.slice(F.split("class", ","), 2, 1_000_000)).alias("form")).join(forms, "form")
+    parts = parts.select("ruleset", "class", "first", F.explode("probes").alias("probe"), "tests").distinct()
+    # A part is one probe of a class with its tests.
+    parts.withColumn("part", F.md5(F.to_json(F.struct("class", "probe", "tests")))).write.parquet(f"{base}/parts")
+    parts = rules.sparkSession.read.parquet(f"{base}/parts")
+
+    able = parts.filter(F.col("class").startswith("true"))
+    asks = able.select("ruleset", "probe", "part", F.explode_outer(_asked()).alias("ask"))
+    asked = asks.filter(F.col("ask").isNotNull()).groupBy("ruleset", "probe", "ask").agg(F.count(F.lit(1)).alias("n"))
+    rarest = F.min(F.struct("n", "ask"))["ask"]
+    wide = asks.join(asked, ["ruleset", "probe", "ask"], "left").groupBy("ruleset", "probe", "part").agg(F.coalesce(rarest, F.lit("*")).alias("ask"))
+    narrow = parts.select("ruleset", F.explode(_wider_probes()).alias("probe"), F.col("part").alias("own"), "tests")
+    narrow = narrow.select("ruleset", "probe", "own", F.explode(_offered()).alias("ask"))
+    pairs = narrow.join(wide, ["ruleset", "probe", "ask"]).select("ruleset", "own", "part").distinct()
+
+    theirs = parts.select("ruleset", F.col("part").alias("own"), F.col("class").alias("_class"), F.col("probe").alias("_probe"), F.col("tests").alias("theirs"))
+    pairs = pairs.join(theirs, ["ruleset", "own"]).join(parts.select("ruleset", "part", "class", "first", "tests"), ["ruleset", "part"])
     follows = F.forall("tests", lambda a: F.exists("theirs", lambda b: _implied(a, b)))
-    whole = pairs.filter(follows).groupBy("ruleset", "idx", "covered_by", "n_probes").agg(F.countDistinct("own").alias("n"))
-    return whole.filter("n = n_probes").groupBy("ruleset", "idx").agg(F.min("covered_by").alias("covered_by"))
+    whole = pairs.filter(follows).groupBy("ruleset", "_class", "class", "first").agg(F.countDistinct("_probe").alias("n"))
+    n = parts.groupBy("ruleset", F.col("class").alias("_class")).agg(F.count(F.lit(1)).alias("n"))
+    # The first rule of all covering classes, the own one among them, covers every later rule of the class.
+    best = whole.join(n, ["ruleset", "_class", "n"]).groupBy("ruleset", F.col("_class").alias("class")).agg(F.min("first").alias("covered_by"))
+    return rule.join(best, ["ruleset", "class"]).filter(F.col("covered_by") < F.col("idx")).select("ruleset", "idx", "covered_by")

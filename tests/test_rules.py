@@ -207,3 +207,17 @@ def test_covered_rules(spark):
     # A rule that matches the same or less than an earlier one with the same tests is found.
     same = {b for b, a in itertools.product(range(len(lines)), repeat=2) if a < b and lines[a] == lines[b]}
     assert same <= {b for b, _ in found}
+
+
+def test_covered_rules_of_long_listings(spark):
+    """Thousands of rules of one probe and thousands of copies: as many rows as rules, not as pairs of them."""
+    text = lambda k: f"-a always,exit -F arch=b64 -S open -F dir=/data/{k % 4000} -F success=0"
+    lines = [("r", k, text(k) if k < 8000 else text(7)) for k in range(12_000)]
+    lines += [("r", 20_000, "-a always,exit -F arch=b64 -S open -F path=/data/9/x -F success=0 -F uid=1"), ("r", 20_001, "-a always,exit -F arch=b64 -S open -F dir=/data/9000")]
+    # Two rows of one number are one rule, covered only where both are; a rule that holds never covers nothing.
+    lines += [("r", 20_002, text(1)), ("r", 20_002, text(5000)), ("q", 1, "-w /a -p wa"), ("q", 2, "-a always,exit -F arch=b64 -S open -F dir=/b -F inode=3"), ("q", 3, "-a always,exit -F arch=b64 -S open -F dir=/b -F inode=3"), ("q", 4, "-w /a/b -p a")]
+    out = M.covered_rules(S.parse_rules(spark.createDataFrame(lines, "ruleset STRING, idx INT, value STRING")))
+    got = {(r.ruleset, r.idx): r.covered_by for r in out.collect()}
+    want = {("r", k): k - 4000 if k < 8000 else 7 for k in range(4000, 12_000)} | {("r", 20_000): 9, ("q", 4): 1}
+    assert got == want
+
