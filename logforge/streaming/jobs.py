@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logforge.operators.events import assemble_events, dedup_sources
+from logforge.operators.events import EVENT_KEY, assemble_events, dedup_sources
 from logforge.operators.routing import forwarded
 from logforge.plans.fleet import accounts, derive_lines, fleet_lines
 from logforge.plans.flow import process_lines
@@ -55,8 +55,9 @@ def stream_eps(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# Files of a delivery; a micro-batch takes one delivery.
+# Files of a delivery, more if they would hold more than FILE_ROWS; a micro-batch takes one delivery.
 _FILES = 8
+FILE_ROWS = 50_000
 
 
 def delivered(spark: SparkSession, sf: str, turns: int = 4, held_back: Column | None = None) -> DataFrame:
@@ -65,15 +66,19 @@ def delivered(spark: SparkSession, sf: str, turns: int = 4, held_back: Column |
     Rows of ``held_back`` come in the last turn whatever their time.
     """
     events = spark.read.parquet(f"{sf}/events.parquet")
-    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()  # two numbers
+    low, high, n = events.agg(F.min("event_id"), F.max("event_id"), F.count(F.lit(1))).first()  # three numbers
+    files = max(_FILES, n // turns // FILE_ROWS)
     base = work_dir(spark, "deliveries")
     width = max(1, ((high or 0) - (low or 0) + turns) // turns)
     turn = F.least(((F.col("event_id") - F.lit(low or 0)) / width).cast("int"), F.lit(turns - 1))
     if held_back is not None:
         turn = F.when(held_back, F.lit(turns - 1)).otherwise(turn)
     for k in range(turns):
-        events.filter(turn == k).repartition(_FILES, "event_id").write.parquet(f"{base}/{k}")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", _FILES)
+        rows = events.filter(turn == k)
+        # Many files are dealt in turn, so that repeated ids leave none of them empty.
+        rows = rows.repartition(_FILES, "event_id") if files == _FILES else rows.repartition(files)
+        rows.write.parquet(f"{base}/{k}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
     return derive_lines(stream.parquet(f"{base}/*"))
 
 
@@ -85,7 +90,8 @@ def _carried(spark: SparkSession, rows: DataFrame, finish: Operator, name: str,
 
 
 def stream_assembly(spark: SparkSession, sf: str) -> DataFrame:
-    events, _ = _carried(spark, parse_audit(delivered(spark, sf)), assemble_events, "assembly")
+    records = parse_audit(delivered(spark, sf)).select(*EVENT_KEY, "record_type", "msg")
+    events, _ = _carried(spark, records, assemble_events, "assembly")
     return events.select("host", "epoch_ms", "serial", "n_records", "cmd", "path", "auid_id", "key", "failed")
 
 

@@ -128,3 +128,20 @@ def test_text_stream_equals_batch(spark, tmp_path):
     )
     R.append_files(make(True), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "o"))) == rows(make(False))
+
+
+def test_deliveries_have_files_for_their_rows(spark, tmp_path, monkeypatch):
+    """Larger deliveries have more files, also where ids repeat, and hold every row in its turn."""
+    from logforge.streaming import jobs
+
+    monkeypatch.setattr(jobs, "work_dir", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(jobs, "FILE_ROWS", 20)
+    events = [(k // 50 * 50, "click") for k in range(1600)]
+    own = spark.createDataFrame(events, "event_id LONG, event_type STRING").selectExpr("event_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "event_id % 9 AS user_id", "event_type")
+    own.write.parquet(str(tmp_path / "events.parquet"))
+    jobs.delivered(spark, str(tmp_path))
+    for k in range(4):
+        folder = tmp_path / "deliveries" / str(k)
+        assert len(list(folder.glob("part-*.parquet"))) == 20
+        got = sorted(r.event_id for r in spark.read.parquet(str(folder)).collect())
+        assert got == [i for i, _ in events if min(int(i / 388), 3) == k]
