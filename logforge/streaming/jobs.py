@@ -98,7 +98,7 @@ def stream_assembly(spark: SparkSession, sf: str) -> DataFrame:
 def stream_late(spark: SparkSession, sf: str) -> DataFrame:
     """Early lines that come with the last delivery: each is in the side output, none in an event."""
     late = (F.col("event_id") % 97 == 0) & (F.col("event_id") < F.lit(400))
-    records = parse_audit(delivered(spark, sf, held_back=late))
+    records = parse_audit(delivered(spark, sf, held_back=late)).select("event_id", *EVENT_KEY, "record_type", "msg")
     events, late = _carried(spark, records, assemble_events, "late", 1000)
     counted = events.agg(F.sum("n_records").alias("n")).select(F.lit("assembled").alias("output"), "n")
     side = late.groupBy(F.concat(F.lit("late "), F.col("event_id").cast("string")).alias("output")).agg(F.count(F.lit(1)).alias("n"))
