@@ -14,8 +14,9 @@ import pytest
 from llm_cases import LOWER, awkward, frame, prose, table, words
 
 from logforge.llm.license_scan import PHRASES, Scanner, SuffixAutomaton, scan_licenses, tokens
+from logforge.llm import lm_score
 from logforge.llm.lm_score import score_texts
-from logforge.llm.mixing_model import Code, Layer, Vocabulary, as_inputs, with_ends, word_stream
+from logforge.llm.mixing_model import CELLS, FREQUENT, STATE_CONTEXTS, Code, Layer, Vocabulary, as_inputs, cells, hashed_slot, with_ends, word_stream
 from logforge.llm.oracle import ORACLE
 from logforge.llm.quality_rules import apply_rules, cover, text_stats
 from logforge.llm.toxicity import Finder, Lexicon, edits, score_toxicity
@@ -277,6 +278,82 @@ def test_lm_learns(spark, tmp_path):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) * 0.97
 
 
+@pytest.mark.parametrize("leaves", [30, 1 << 16])
+def test_lm_fits_on_every_training_text(spark, tmp_path, monkeypatch, leaves):
+    """Weights and refinement see each step of each training text, long and repeated ones too, predicted from all other steps."""
+    rng = random.Random(4)
+    rows = [(i, prose(rng, rng.randrange(1, 30)), "s") for i in range(700)]
+    rows += [(1000, prose(rng, 4000), "s"), (1001, prose(rng, 4000), "s"), (3, rows[3][1], "s"), (1003, None, "s"), (1004, "É x É", "s"), (None, "no id", "s")]
+    assert len(rows[700][1]) > 20_000
+    fits, kept = [], []
+    monkeypatch.setattr(lm_score, "LEAVES", leaves)
+    monkeypatch.setattr(lm_score, "Vocabulary", lambda *a: kept.append(Vocabulary(*a)) or kept[-1])
+    monkeypatch.setattr(Layer, "fit", lambda layer, counts: fits.append((layer, counts)))
+    score_texts(table(spark, rows, tmp_path)).collect()
+    (vocabulary,), (layer, counts) = kept, fits[0]
+    code, size = layer.code, 1 << lm_score.WORD_BITS
+    steps, rare = [], Counter()
+    for i, t, _ in rows:
+        if i is None or zlib.crc32(str(i).encode()) % 7 == 2:
+            continue
+        w = [x.encode() for x in words((t or "").translate(LOWER))]
+        h, row, number = with_ends(tokenize(*buffers(pa.array([t], pa.string()))))
+        before = [0, 0]
+        for k, leaf in enumerate(vocabulary.ids(h).tolist()):
+            if leaf == vocabulary.escape and k < len(w):
+                rare[w[k] + b" "] += 1
+            for at in range(code.first[leaf], code.first[leaf] + code.length[leaf]):
+                steps.append((code.node[at], before[0] * (FREQUENT + 1) + before[1], code.bit[at]))
+            if leaf < FREQUENT:
+                before = [leaf + 1, before[0]]
+    node, state, bit = (np.array(x) for x in zip(*steps, strict=True))
+    node = node.astype(np.uint32)
+    slots = [node, *(hashed_slot(c[state], node, lm_score.WORD_BITS) for c in STATE_CONTEXTS)]
+    tables = [np.bincount(s.astype(np.int64) * 2 + bit, minlength=2 * size).astype(np.float32) for s in slots]
+    for k in (1, 2):
+        assert np.array_equal(as_inputs(tables[k]), layer.inputs[k])
+    want = np.bincount(cells(tables, slots, bit, np.ones(len(bit), np.float32)), minlength=2 * CELLS)
+    assert counts.sum() == len(steps) and np.array_equal(want, counts)
+    assert len(fits) == 1 + bool(rare) and (rare or leaves > 30)  # a few words find no slot and are rare ones
+    if rare:
+        spelling, counts = fits[1]
+        letters = np.zeros(256, np.int64)
+        for word, n in rare.items():
+            np.add.at(letters, list(word), n)
+        assert np.array_equal(spelling.code.length, Code(letters).length)
+        assert counts.sum() == sum(int(spelling.code.length[list(word)].sum()) for word in rare)
+
+
+def test_lm_cells():
+    """A step's cell is that of the counts without it; odds are rounded to halves."""
+    tables = [np.array(x, np.float32) for x in ([5, 3], [0, 1, 40, 2], [1, 0, 0, 9])]
+    for slots, bit, less in itertools.product(itertools.product((0,), (0, 1), (0, 1)), (0, 1), (0, 1, 3)):
+        gate = cell = 0
+        for k, slot in enumerate(slots):
+            n = tables[k][2 * slot : 2 * slot + 2].tolist()
+            n[bit] = max(n[bit] - less, 0)
+            if k:
+                gate = gate * 4 + sum(sum(n) > x for x in (0, 3, 30))
+            cell = cell * 33 + round(2 * math.log((n[1] + 0.3) / (n[0] + 0.3))) + 16
+        got = cells(tables, [np.array([s], np.uint32) for s in slots], np.array([bit], np.uint8), np.array([less], np.float32))
+        assert got.tolist() == [(gate * 33**3 + cell) * 2 + bit]
+
+
+def test_lm_fit_finds_weights():
+    """From counts of cells the fit finds the weights that made them; a gate without counts keeps its own."""
+    code = Code(np.array([3, 2, 1]))
+    layer = Layer(code, 4, [])
+    at = np.stack(np.unravel_index(np.arange(33**3), (33,) * 3), 1) / 2 - 8
+    want = np.array([0.7, -0.2, 0.5, 0.3])
+    p = 1 / (1 + np.exp(-(at @ want[:3] + want[3])))
+    counts = np.zeros((16, 33**3, 2))
+    counts[5] = np.stack([1000 * (1 - p), 1000 * p], 1)
+    layer.fit(counts.ravel())
+    assert layer.weights[5] == pytest.approx(want, abs=1e-3)
+    assert layer.weights[4].tolist() == [0.4, 0.4, 0.4, 0.0]
+    assert np.all(np.diff(layer.refine[5]) > 0)
+
+
 def test_lm_without_training(spark, tmp_path):
     rows = [(None, "a b", "s"), (None, None, "s")]
     got = score_texts(table(spark, rows, tmp_path)).collect()
