@@ -16,7 +16,9 @@ from llm_cases import LOWER, awkward, frame, prose, table, words
 from logforge.llm.license_scan import PHRASES, Scanner, SuffixAutomaton, scan_licenses, tokens
 from logforge.llm import lm_score
 from logforge.llm.lm_score import score_texts
-from logforge.llm.mixing_model import CELLS, FREQUENT, STATE_CONTEXTS, Code, Layer, Vocabulary, as_inputs, cells, hashed_slot, with_ends, word_stream
+from logforge.llm.mixing_model import (
+    AT_ONCE, BINS, CELLS, EARLY, FREQUENT, GATES, HOLD, STATE_CONTEXTS, TURN, Code, Layer, Vocabulary, as_inputs, cells, hashed_slot, with_ends, word_stream,
+)
 from logforge.llm.oracle import ORACLE
 from logforge.llm.quality_rules import apply_rules, cover, text_stats
 from logforge.llm.toxicity import Finder, Lexicon, edits, score_toxicity
@@ -324,6 +326,79 @@ def test_lm_fits_on_every_training_text(spark, tmp_path, monkeypatch, leaves):
         assert counts.sum() == sum(int(spelling.code.length[list(word)].sum()) for word in rare)
 
 
+def test_lm_texts_learn_on_their_own():
+    """Weights and map go on learning through each text, as in a bit-by-bit statement, and no text's score depends on others."""
+    rng = np.random.default_rng(6)
+    counts = np.array([90, 60, 40, 20, 9, 9, 3, 1, 1, 1])
+    code, bits = Code(counts), 6
+    vocabulary = Vocabulary(np.arange(1, 10, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), counts[:-1], 1)
+    layer = Layer(code, bits, [as_inputs(code.node_counts(counts)), *(as_inputs(rng.integers(0, 60, 128)) for _ in range(2))], rate=0.4)
+    layer.weights = rng.normal(0.4, 0.2, layer.weights.shape)
+    layer.refine = rng.uniform(0.05, 0.95, (GATES, BINS)).astype(np.float32)
+    texts = [rng.integers(0, 2 if k % 3 else 9, n) for k, n in enumerate([1, EARLY[0], EARLY[0] + 1, TURN, TURN + 1, 3 * TURN, 0, *rng.integers(1, 9 * TURN, 60), 2 * AT_ONCE])]
+    stream = lambda some: word_stream(vocabulary, np.concatenate([vocabulary.hashes[t] for t in some]), np.repeat(np.arange(len(some)), [len(t) for t in some]))
+    got = layer.log10(stream(texts), len(texts))
+    assert np.array_equal(got, [layer.log10(stream([t]), 1)[0] for t in texts])
+    for text, score in list(zip(texts, got, strict=True))[:20]:
+        one = stream([text])
+        weights, chances, cost = layer.weights.copy(), layer.refine.astype(float).ravel(), 0.0
+        ends = sorted({*EARLY, *range(TURN, len(text) + TURN, TURN)})
+        for begin, end in zip([0, *ends], ends):
+            had = []
+            for k in range(begin, min(end, len(text))):
+                leaf = one.leaf[k]
+                for at in range(code.first[leaf], code.first[leaf] + code.length[leaf]):
+                    node, bit = code.node[at : at + 1], int(code.bit[at])
+                    raw = [int(t[node[0] if c is None else hashed_slot(c[k : k + 1], node, bits)[0]]) for t, c in zip(layer.inputs, one.contexts, strict=True)]
+                    odds = np.array([*((r >> 2) / 1024 - 8 for r in raw), 1.0])
+                    gate = (raw[1] & 3) * 4 + (raw[2] & 3)
+                    z = min(max(weights[gate] @ odds, -11), 11)
+                    p = 1 / (1 + math.exp(-z))
+                    cell = gate * BINS + int(min(max((z + 8) * BINS / 16, 0), BINS - 1))
+                    q = (p + chances[cell]) / 2
+                    cost += math.log10(q if bit else 1 - q)
+                    had.append((gate, cell, odds, bit, bit - p))
+            for gate in {h[0] for h in had}:
+                some = [h for h in had if h[0] == gate]
+                weights[gate] += layer.rate / (len(some) + 64) * sum(h[4] * h[2] for h in some)
+            for cell in {h[1] for h in had}:
+                some = [h[3] for h in had if h[1] == cell]
+                chances[cell] += (sum(some) - len(some) * chances[cell]) / (len(some) + HOLD)
+        assert score == pytest.approx(cost, rel=1e-4, abs=1e-6)
+
+
+def test_lm_spells_every_rare_word(spark, tmp_path, monkeypatch):
+    """A rare word's chance is its count and its spelling's share, whether a training text holds it or not."""
+    rows = awkward(9) + [(i, f"own{i * i}é Own{i * i}é the{i}", "s") for i in range(200, 240)]
+    kept, layers = [], []
+    fit = Layer.fit
+    monkeypatch.setattr(lm_score, "LEAVES", 30)
+    monkeypatch.setattr(lm_score, "Vocabulary", lambda *a: kept.append(Vocabulary(*a)) or kept[-1])
+    monkeypatch.setattr(Layer, "fit", lambda layer, counts: layers.append(layer) or fit(layer, counts))
+    got = score_texts(table(spark, rows, tmp_path)).collect()
+    (vocabulary,), (layer, byte_layer) = kept, layers
+    found, count, spelled = [], Counter(), {}
+    for i, t, _ in rows:
+        data, offsets = buffers(pa.array([t], pa.string()))
+        w = tokenize(data, offsets)
+        h, row, number = with_ends(w)
+        s = word_stream(vocabulary, h, row)
+        out = np.flatnonzero(s.leaf == vocabulary.escape)
+        spelled |= dict(zip(h[out].tolist(), byte_layer.log10(lm_score._spell(data, w, number[out], np.arange(len(out))), len(out)), strict=True))
+        found.append((i, t, layer.log10(s, 1)[0], h[out].tolist()))
+        if i is not None and zlib.crc32(str(i).encode()) % 7 != 2:
+            count.update(h[out].tolist())
+    seen, kinds = sum(count.values()), len(count)
+    assert kinds > 50 and any(x not in count for x in spelled)
+    want = []
+    for i, t, score, rare in found:
+        score += sum(math.log10(count[x] + (kinds + 1) * 10 ** spelled[x]) - math.log10(seen + kinds + 1) for x in rare)
+        size = len((t or "").encode())
+        want.append((repr(i), size, pytest.approx(score, rel=1e-5), pytest.approx(-score * math.log2(10) / size, rel=1e-5) if size else None))
+    by = lambda r: (r[0], r[1])
+    assert sorted(((repr(r.doc_id), r.n_bytes, r.score, r.bits_per_byte) for r in got), key=by) == sorted(want, key=by)
+
+
 def test_lm_cells():
     """A step's cell is that of the counts without it; odds are rounded to halves."""
     tables = [np.array(x, np.float32) for x in ([5, 3], [0, 1, 40, 2], [1, 0, 0, 9])]
